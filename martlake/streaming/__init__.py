@@ -1,0 +1,7 @@
+"""Intentionally empty.
+
+The job this library re-expresses is a batch warehouse: it has no stream,
+watermark, event-time window or keyed state, so nothing is built here.  The
+daily detail layer is written in date partitions and ``write_layer`` supports
+dynamic partition overwrite, which is how new days are added in batch.
+"""

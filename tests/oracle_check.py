@@ -1,0 +1,109 @@
+"""Run registered Spark queries against their DuckDB SQL (the driver's check).
+
+Usage: python -m tests.oracle_check [sf_dir] [key ...]
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import decimal
+import math
+import sys
+import time
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents "
+    "embeddings pages benchmark labels conversations"
+).split()
+
+
+def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+    return con
+
+
+def _norm(v):
+    if isinstance(v, float):
+        return "nan" if math.isnan(v) else repr(v)
+    if isinstance(v, decimal.Decimal):
+        return f"dec:{v}"
+    if isinstance(v, (dt.datetime, dt.date)):
+        return v.isoformat()
+    return v
+
+
+def rows_of_spark(df):
+    cols = sorted(df.columns)
+    return cols, sorted(
+        (tuple(_norm(r[c]) for c in cols) for r in df.select(*cols).collect()),
+        key=repr,
+    )
+
+
+def rows_of_duck(con, sql):
+    rel = con.sql(sql)
+    names = rel.columns
+    cols = sorted(names)
+    idx = [names.index(c) for c in cols]
+    return cols, sorted(
+        (tuple(_norm(r[i]) for i in idx) for r in rel.fetchall()), key=repr
+    ), dict(zip(rel.columns, [str(t) for t in rel.types]))
+
+
+def compare(spark, con, key, query, sql, sf_dir):
+    t0 = time.time()
+    df = query(spark, sf_dir)
+    s_cols, s_rows = rows_of_spark(df)
+    t1 = time.time()
+    d_cols, d_rows, d_types = rows_of_duck(con, sql)
+    ok = s_cols == d_cols and s_rows == d_rows
+    info = {
+        "key": key,
+        "ok": ok,
+        "spark_rows": len(s_rows),
+        "duck_rows": len(d_rows),
+        "spark_sec": round(t1 - t0, 2),
+    }
+    if not ok:
+        if s_cols != d_cols:
+            info["cols"] = (s_cols, d_cols)
+        else:
+            diff_s = [r for r in s_rows if r not in set(d_rows)][:3]
+            diff_d = [r for r in d_rows if r not in set(s_rows)][:3]
+            info["diff"] = (s_cols, diff_s, diff_d)
+    info["spark_types"] = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    info["duck_types"] = d_types
+    return info
+
+
+def main(argv):
+    sys.path.insert(0, ".")
+    from tests.conftest import make_session
+    import __spark_entry__ as e
+
+    sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
+    keys = argv[1:] or list(e.queries())
+    spark = make_session()
+    con = duck(sf_dir)
+    qs, sqls = e.queries(), e.oracle_sql()
+    bad = 0
+    for k in keys:
+        try:
+            info = compare(spark, con, k, qs[k], sqls[k], sf_dir)
+        except Exception as exc:  # report and go on
+            info = {"key": k, "ok": False, "error": repr(exc)[:800]}
+        bad += not info["ok"]
+        st = "OK " if info["ok"] else "BAD"
+        print(st, k, {x: y for x, y in info.items() if x not in ("key", "ok", "spark_types", "duck_types")}, flush=True)
+        if not info["ok"] and "spark_types" in info:
+            print("   types spark", info["spark_types"], "\n   types duck ", info["duck_types"])
+    print("failures:", bad)
+    return bad
+
+
+if __name__ == "__main__":
+    sys.exit(1 if main(sys.argv[1:]) else 0)
