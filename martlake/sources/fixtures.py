@@ -64,19 +64,25 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Per-order line ordinal.  The test generator bounds lines per order
     # (TPC-H: at most 7), so the per-order window stays small; real sources
-    # carry order_item_id / payment_sequential themselves.
-    w = Window.partitionBy("l_orderkey").orderBy(
+    # carry order_item_id / payment_sequential themselves.  The window is
+    # keyed on the text order_id, so the shuffle it needs also serves the
+    # later per-order aggregates and joins (which key on order_id).
+    w = Window.partitionBy("order_id").orderBy(
         F.col("l_linenumber").asc_nulls_last(),
         F.col("l_partkey").asc_nulls_last(),
         F.col("l_suppkey").asc_nulls_last(),
         F.col("l_extendedprice").asc_nulls_last(),
     )
-    return _table(spark, sf_dir, "lineitem").withColumn("line_no", F.row_number().over(w))
+    return (
+        _table(spark, sf_dir, "lineitem")
+        .withColumn("order_id", F.col("l_orderkey").cast("string"))
+        .withColumn("line_no", F.row_number().over(w))
+    )
 
 
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _numbered_lines(spark, sf_dir).select(
-        F.col("l_orderkey").cast("string").alias("order_id"),
+        "order_id",
         F.col("line_no").alias("order_item_id"),
         F.col("l_partkey").cast("string").alias("product_id"),
         F.col("l_suppkey").cast("string").alias("seller_id"),
@@ -92,7 +98,7 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, v in PAYMENT_TYPE_BY_RETURNFLAG.items():
         ptype = F.when(flag == k, v) if ptype is None else ptype.when(flag == k, v)
     return _numbered_lines(spark, sf_dir).select(
-        F.col("l_orderkey").cast("string").alias("order_id"),
+        "order_id",
         F.col("line_no").alias("payment_sequential"),
         ptype.alias("payment_type"),
         F.col("l_quantity").cast("int").alias("payment_installments"),
