@@ -76,8 +76,10 @@ def order_wide(
         "customer_city",
         "customer_state",
     )
-    wide = lookup_left(base, cust, "customer_id")
-    wide = lookup_left(wide, payment_summary(payments), "order_id")
+    wide = lookup_left(base, cust, "customer_id", spread_by=["order_id"])
+    wide = lookup_left(
+        wide, payment_summary(payments), "order_id", spread_by=["customer_id"]
+    )
     delivered, estimated = (
         F.col("order_delivered_customer_date"),
         F.col("order_estimated_delivery_date"),
@@ -113,7 +115,9 @@ def order_wide(
 def order_item_wide(items: DataFrame, products: DataFrame, *, load_time=None) -> DataFrame:
     """One row per order item with its product's category and weight."""
     prod = products.select("product_id", "product_category_name", "product_weight_g")
-    out = lookup_left(items, prod, "product_id").select(
+    out = lookup_left(
+        items, prod, "product_id", spread_by=["order_id", "order_item_id"]
+    ).select(
         "order_id",
         "order_item_id",
         "product_id",

@@ -9,13 +9,17 @@ _SALT = "_null_key_salt"
 SALT_BUCKETS = 64
 
 
-def lookup_left(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+def lookup_left(
+    fact: DataFrame, dim: DataFrame, key: str, spread_by: list[str] | None = None
+) -> DataFrame:
     """``fact LEFT JOIN dim USING (key)`` that spreads NULL fact keys.
 
     A NULL key never matches, but a plain shuffle join hashes every NULL key
     to the same reducer.  The join runs on ``(key, salt)``: non-NULL keys get
-    salt 0 on both sides, NULL keys get a salt derived from the row, so they
-    spread over ``SALT_BUCKETS`` reducers and still match nothing.  Hot
+    salt 0 on both sides, NULL keys get a salt hashed from ``spread_by`` (a
+    row key of the fact, e.g. its id; default: all fact columns), so they
+    spread over ``SALT_BUCKETS`` reducers and still match nothing.  Keep
+    ``spread_by`` narrow: its columns are read even when nothing else needs them.  Hot
     non-NULL keys are split by AQE's skew-join handling (the fact side of a
     left join is splittable); the dimension is unique per key, so a split
     never multiplies rows.  Output columns: ``key``, fact columns, dim columns.
@@ -23,7 +27,10 @@ def lookup_left(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     dim_cols = [c for c in dim.columns if c != key]
     salted_fact = fact.withColumn(
         _SALT,
-        F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*fact.columns), F.lit(SALT_BUCKETS)))
+        F.when(
+            F.col(key).isNull(),
+            F.pmod(F.xxhash64(*(spread_by or fact.columns)), F.lit(SALT_BUCKETS)),
+        )
         .otherwise(F.lit(0).cast("long")),
     )
     salted_dim = dim.withColumn(_SALT, F.lit(0).cast("long"))

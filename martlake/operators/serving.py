@@ -13,7 +13,8 @@ def top_categories(category_stats: DataFrame, k: int = 10) -> DataFrame:
     """The ``k`` categories with the most revenue, their rank and share (%).
 
     Category totals are one row per category; the grand total is a one-row
-    aggregate, so broadcasting it is bounded.  The top-k is taken before any
+    aggregate, so broadcasting it is bounded.  ``category_stats`` is read
+    twice (totals, grand total): pass a written table, not a long lineage.  The top-k is taken before any
     ranking (``TakeOrderedAndProject``: each task keeps its best k), so the
     ranking window only ever sees k rows.  Ties go to the category name.
     """
@@ -37,7 +38,8 @@ def top_categories(category_stats: DataFrame, k: int = 10) -> DataFrame:
 
 def gmv_trend(daily: DataFrame) -> DataFrame:
     """Daily GMV with counts, order value and growth (%) over the previous
-    present day (days without orders are not filled in)."""
+    present day (days without orders are not filled in).  ``daily`` is read
+    twice (rows, per-year tails): pass a written table."""
     base = daily.select(
         "stat_date",
         "gmv",

@@ -13,7 +13,7 @@ from martlake.functions.numbers import decimals_to_double
 from martlake.operators import detail, kpis, serving, summary
 from martlake.plans.warehouse import DETAIL_PARTITION, build_warehouse, write_source_csv
 from martlake.schemas import SOURCE_FILES
-from martlake.session import new_scratch_dir
+from martlake.session import new_scratch_dir, write_scratch_table
 from martlake.sinks.files import write_layer
 from martlake.sources.files import ingest, read_layer
 from martlake.sources.fixtures import BUILDERS, fixture_tables
@@ -78,9 +78,11 @@ def _order_kpis(spark, d):
 
 
 def _kpi_summary(spark: SparkSession, d: str) -> DataFrame:
+    # order_wide feeds five KPI branches and the daily table: write it once
     t = fixture_tables(spark, d)
-    ow = _ow(spark, d)
-    values = kpis.kpi_values(t.orders, ow, summary.daily_order_stats(ow), t.reviews)
+    ow = write_scratch_table(_ow(spark, d), "order_wide")
+    daily = write_scratch_table(summary.daily_order_stats(ow), "daily")
+    values = kpis.kpi_values(t.orders, ow, daily, t.reviews)
     return kpis.refresh_metrics(kpis.metric_catalog(spark), values)
 
 
@@ -113,8 +115,14 @@ QUERIES: dict[str, Query] = {
     "category_review_scores": lambda s, d: _out(
         summary.category_review_scores(_ow(s, d), _iw(s, d), fixture_tables(s, d).reviews)
     ),
-    "top_categories": lambda s, d: _out(serving.top_categories(_cats(s, d))),
-    "gmv_trend": lambda s, d: _out(serving.gmv_trend(_daily(s, d))),
+    # the serving tables read their input twice (totals + grand total; rows +
+    # per-year tails), so the input is written once, as the warehouse does
+    "top_categories": lambda s, d: _out(
+        serving.top_categories(write_scratch_table(_cats(s, d), "category_stats"))
+    ),
+    "gmv_trend": lambda s, d: _out(
+        serving.gmv_trend(write_scratch_table(_daily(s, d), "daily"))
+    ),
     "kpi_total_gmv": _kpi(_daily_kpis, kpis.TOTAL_GMV),
     "kpi_avg_order_value": _kpi(_daily_kpis, kpis.AVG_ORDER_VALUE),
     "kpi_completion_rate": _kpi(_daily_kpis, kpis.COMPLETION_RATE),

@@ -45,3 +45,16 @@ def scratch_root(spark: SparkSession) -> str:
 def new_scratch_dir(spark: SparkSession, tag: str) -> str:
     """A fresh, unique path under the shared scratch root (not created yet)."""
     return f"{scratch_root(spark)}/martlake/{tag}-{uuid.uuid4().hex}"
+
+
+def write_scratch_table(df, tag: str):
+    """Write ``df`` as Parquet under the shared scratch root and return the
+    written copy.
+
+    Used where one intermediate feeds several branches of a plan: Spark would
+    otherwise recompute it per branch.  The written copy also cuts lineage, so
+    a lost executor re-runs only the work after it.
+    """
+    path = new_scratch_dir(df.sparkSession, tag)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
