@@ -57,3 +57,20 @@ def gmv_trend(daily: DataFrame) -> DataFrame:
         "avg_order_value",
         ratio_half_up((cents("gmv") - prev_c) * 100, prev_c, 2).alias("gmv_growth_pct"),
     )
+
+
+# Presentation order of each serving table.  Applied when a table is read
+# for display, never before a write (a global sort is a range shuffle).
+REPORT_ORDER = {
+    "daily_order_stats": [("stat_date", "asc")],
+    "category_stats": [("stat_month", "asc"), ("total_revenue", "desc")],
+    "top_categories": [("rank_no", "asc")],
+    "gmv_trend": [("stat_date", "desc")],
+}
+
+
+def in_report_order(df: DataFrame, table: str) -> DataFrame:
+    cols = [
+        F.col(c).asc() if how == "asc" else F.col(c).desc() for c, how in REPORT_ORDER[table]
+    ]
+    return df.orderBy(*cols)

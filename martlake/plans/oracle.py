@@ -366,6 +366,7 @@ GROUP BY o.order_id""",
     q["daily_order_stats"] = _sql(
         _DAILY_CTES, "SELECT * REPLACE (CAST(gmv AS DOUBLE) AS gmv) FROM daily_out"
     )
+    q["daily_order_stats_sql"] = q["daily_order_stats"]
     q["category_stats"] = _sql(
         _OW_IW + [CATEGORY],
         "SELECT * REPLACE (CAST(total_revenue AS DOUBLE) AS total_revenue) FROM cat",

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from martlake.functions.numbers import decimals_to_double
 from martlake.operators import detail, kpis, serving, summary
+from martlake.operators.summary_sql import daily_order_stats_sql
 from martlake.plans.warehouse import DETAIL_PARTITION, build_warehouse, write_source_csv
 from martlake.schemas import SOURCE_FILES
 from martlake.session import new_scratch_dir, write_scratch_table
@@ -111,6 +112,7 @@ QUERIES: dict[str, Query] = {
     "order_wide_by_day_layout": _order_wide_by_day_layout,
     "first_order_per_customer": lambda s, d: summary.first_order_per_customer(_ow(s, d)),
     "daily_order_stats": lambda s, d: _out(_daily(s, d)),
+    "daily_order_stats_sql": lambda s, d: _out(daily_order_stats_sql(_ow(s, d))),
     "category_stats": lambda s, d: _out(_cats(s, d)),
     "category_review_scores": lambda s, d: _out(
         summary.category_review_scores(_ow(s, d), _iw(s, d), fixture_tables(s, d).reviews)

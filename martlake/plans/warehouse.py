@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from martlake.operators import detail, kpis, serving, summary
 from martlake.schemas import SOURCE_FILES, TIMESTAMP_WRITE_FORMAT
 from martlake.sinks.files import write_layer
-from martlake.sources.files import ingest, read_layer
+from martlake.sources.files import ingest_all, read_layer
 
 DETAIL_PARTITION = "order_purchase_date"
 
@@ -45,10 +45,10 @@ def build_warehouse(
     paths: dict[str, str] = {}
     load_time = F.current_timestamp()
 
+    ingest_all(spark, raw_dir, f"{out}/ods", load_time=load_time)
     src: dict[str, DataFrame] = {}
-    for table, file_name in SOURCE_FILES.items():
+    for table in SOURCE_FILES:
         paths[f"ods_{table}"] = p = f"{out}/ods/{table}"
-        ingest(spark, table, f"{raw_dir.rstrip('/')}/{file_name}", p, load_time=load_time)
         src[table] = read_layer(spark, p).drop("etl_timestamp")
 
     ow = detail.order_wide(

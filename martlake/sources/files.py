@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from martlake.schemas import MULTILINE_TABLES, SOURCE_SCHEMAS, TIMESTAMP_FORMAT
+from martlake.schemas import (
+    MULTILINE_TABLES,
+    SOURCE_FILES,
+    SOURCE_SCHEMAS,
+    TIMESTAMP_FORMAT,
+)
 
 
 def read_source_csv(
@@ -47,23 +52,48 @@ def ingest(
     *,
     load_time: Column | None = None,
     with_load_time: bool = True,
+    observation: Observation | None = None,
 ) -> DataFrame:
     """Raw CSV -> typed table (+ ``etl_timestamp``), optionally written as Parquet.
 
     When ``out_path`` is given the table is written and the written copy is
-    returned, so callers read Parquet rather than re-parsing the CSV.
+    returned, so callers read Parquet rather than re-parsing the CSV.  An
+    ``observation`` collects the row count during that write (no extra job).
     """
     df = read_source_csv(spark, table, csv_path)
     if with_load_time:
         df = df.withColumn(
             "etl_timestamp", load_time if load_time is not None else F.current_timestamp()
         )
+    if observation is not None:
+        df = df.observe(observation, F.count(F.lit(1)).alias("rows"))
     if out_path is None:
         return df
     df.write.mode("overwrite").parquet(out_path)
     return spark.read.parquet(out_path)
 
 
+def ingest_all(
+    spark: SparkSession, raw_dir: str, out_dir: str, *, load_time: Column | None = None
+) -> dict[str, int]:
+    """Ingest the six raw tables into ``out_dir/<table>``; returns row counts
+    (observed while writing)."""
+    counts: dict[str, int] = {}
+    stamp = load_time if load_time is not None else F.current_timestamp()
+    for table, file_name in SOURCE_FILES.items():
+        obs = Observation(f"ingest_{table}")
+        ingest(
+            spark,
+            table,
+            f"{raw_dir.rstrip('/')}/{file_name}",
+            f"{out_dir.rstrip('/')}/{table}",
+            load_time=stamp,
+            observation=obs,
+        )
+        counts[table] = int(obs.get["rows"])
+    return counts
+
+
 def read_layer(spark: SparkSession, path: str) -> DataFrame:
     """A written Parquet layer; Hive-style ``col=value`` folders become columns."""
     return spark.read.parquet(path)
