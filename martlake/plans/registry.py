@@ -58,7 +58,9 @@ def _ods(table: str) -> Query:
 
 def _order_wide_by_day_layout(spark: SparkSession, d: str) -> DataFrame:
     path = new_scratch_dir(spark, "order_wide")
-    write_layer(_ow(spark, d), path, partition_by=DETAIL_PARTITION)
+    write_layer(
+        _ow(spark, d), path, partition_by=DETAIL_PARTITION, spread_by=["order_id"]
+    )
     back = read_layer(spark, path)
     return _out(back.filter(F.col(DETAIL_PARTITION).isNotNull()))
 

@@ -55,7 +55,9 @@ def build_warehouse(
         src["orders"], src["customers"], src["payments"], load_date=F.current_date()
     )
     paths["order_wide"] = f"{out}/dwd/order_wide"
-    write_layer(ow, paths["order_wide"], partition_by=DETAIL_PARTITION)
+    write_layer(
+        ow, paths["order_wide"], partition_by=DETAIL_PARTITION, spread_by=["order_id"]
+    )
     iw = detail.order_item_wide(src["order_items"], src["products"], load_time=load_time)
     paths["order_item_wide"] = f"{out}/dwd/order_item_wide"
     write_layer(iw, paths["order_item_wide"])
