@@ -59,3 +59,14 @@ def test_daily_trend_has_no_global_window_over_days(spark):
     # (one row per year) is ordered globally
     assert "Window [row_number()" in p and "lag(gmv" in p
     assert "windowspecdefinition(_bucket" in p
+
+
+def test_as_of_scalar_scans_only_orders(spark):
+    from pyspark.sql import functions as F
+
+    t = fixture_tables(spark, SF001)
+    ow = detail.order_wide(t.orders, t.customers, t.payments)
+    p = _plan(ow.filter(F.col("is_valid") == 1).agg(F.max("order_purchase_date")))
+    # max() ignores duplicates, so Catalyst drops both left joins
+    assert "Join" not in p and "lineitem" not in p and "customer.parquet" not in p
+    assert "ReadSchema: struct<o_orderkey:bigint,o_orderdate:timestamp_ntz>" in p
