@@ -116,7 +116,7 @@ def order_item_wide(items: DataFrame, products: DataFrame, *, load_time=None) ->
     """One row per order item with its product's category and weight."""
     prod = products.select("product_id", "product_category_name", "product_weight_g")
     out = lookup_left(
-        items, prod, "product_id", spread_by=["order_id", "order_item_id"]
+        items, prod, "product_id", spread_by=["order_id"]
     ).select(
         "order_id",
         "order_item_id",
