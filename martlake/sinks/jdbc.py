@@ -52,3 +52,9 @@ def publish_jdbc(
         num_partitions=num_partitions,
     )
     df.write.format("jdbc").options(**opts).mode(mode).save()
+
+
+def publish_layer(spark, parquet_path: str, url: str, table: str, **kwargs) -> None:
+    """Publish a written Parquet layer to a SQL table (executors write; the
+    rows never pass through the driver)."""
+    publish_jdbc(spark.read.parquet(parquet_path), url, table, **kwargs)

@@ -85,3 +85,21 @@ def test_jdbc_write_options():
         "numPartitions": "4",
         "user": "u",
     }
+
+
+def test_ingest_all_counts_rows_while_writing(spark):
+    from martlake.plans.warehouse import write_source_csv
+    from martlake.schemas import SOURCE_FILES
+    from martlake.sources.files import ingest_all
+    from martlake.sources.fixtures import BUILDERS
+    from tests.conftest import SF001
+
+    root = new_scratch_dir(spark, "ingest_all")
+    expected = {}
+    for table, name in SOURCE_FILES.items():
+        df = BUILDERS[table](spark, SF001)
+        expected[table] = df.count()
+        write_source_csv(df, f"{root}/raw/{name}")
+    counts = ingest_all(spark, f"{root}/raw", f"{root}/ods")
+    assert counts == expected
+    assert read_layer(spark, f"{root}/ods/orders").count() == expected["orders"]
