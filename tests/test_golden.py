@@ -204,3 +204,21 @@ def test_refresh_metrics_keeps_unknown_names(spark):
     assert out["Something New"]["metric_unit"] is None
     assert out["Total Orders"]["metric_value"] is None
     assert len(out) == len(kpis.CATALOG) + 1
+
+
+def test_sql_form_matches_dataframe_form(spark):
+    from martlake.functions.numbers import decimals_to_double
+    from martlake.operators.summary_sql import daily_order_stats_sql
+
+    ow = _daily_fixture(spark)
+    a = decimals_to_double(summary.daily_order_stats(ow)).collect()
+    b = decimals_to_double(daily_order_stats_sql(ow)).collect()
+    key = lambda r: r["stat_date"]
+    assert sorted(map(tuple, sorted(a, key=key))) == sorted(map(tuple, sorted(b, key=key)))
+
+
+def test_report_order(spark):
+    daily = summary.daily_order_stats(_daily_fixture(spark))
+    trend = serving.in_report_order(serving.gmv_trend(daily), "gmv_trend").collect()
+    dates = [r["stat_date"] for r in trend]
+    assert dates == sorted(dates, reverse=True)
