@@ -8,7 +8,6 @@ results must stay whole.
 from __future__ import annotations
 
 import datetime as dt
-from decimal import Decimal
 
 from pyspark.sql import functions as F
 
