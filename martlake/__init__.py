@@ -11,4 +11,4 @@ Layers (each a DataFrame -> DataFrame function, see ``operators``):
 Parquet, so later layers read a written table instead of a long lineage.
 """
 
-__all__ = ["functions", "operators", "plans", "sinks", "sources", "streaming"]
+__all__ = ["functions", "operators", "plans", "sinks", "sources"]

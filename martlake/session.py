@@ -6,7 +6,6 @@ Library functions never create a session or change its settings; callers
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -28,17 +27,21 @@ RECOMMENDED_CONF: dict[str, str] = {
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for written intermediate tables.
 
-    Uses ``spark.checkpoint.dir`` from the session (on a cluster this names a
-    shared file system).  Only when it is unset, as in local tests, a fresh
-    local folder is created and registered as the checkpoint dir.
+    The session's ``spark.checkpoint.dir`` (on a cluster a shared file
+    system), else the folder the caller gave to ``setCheckpointDir``.  With
+    neither, a clear error: a machine-local folder would not be seen by other
+    executors.  The caller's settings are never changed.
     """
-    root = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(
-        CHECKPOINT_KEY, None
+    root = (
+        spark.conf.get(CHECKPOINT_KEY, None)
+        or spark.sparkContext.getConf().get(CHECKPOINT_KEY, None)
+        or spark.sparkContext.getCheckpointDir()
     )
     if not root:
-        root = tempfile.mkdtemp(prefix="martlake-ckpt-")
-        spark.conf.set(CHECKPOINT_KEY, root)
-        spark.sparkContext.setCheckpointDir(root)
+        raise RuntimeError(
+            f"set {CHECKPOINT_KEY} (or call setCheckpointDir) to a folder that the driver "
+            "and all executors share; intermediate tables are written there"
+        )
     return root.rstrip("/")
 
 
@@ -58,3 +61,13 @@ def write_scratch_table(df, tag: str):
     path = new_scratch_dir(df.sparkSession, tag)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def drop_scratch(spark: SparkSession, path: str) -> bool:
+    """Delete a folder made by :func:`new_scratch_dir`; False if it is not
+    there.  Refuses paths outside the shared scratch root."""
+    if not path.startswith(f"{scratch_root(spark)}/martlake/"):
+        raise ValueError(f"not a scratch folder of this session: {path}")
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.delete(jpath, True))

@@ -23,6 +23,7 @@ def make_session():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", os.environ.get("MARTLAKE_TEST_SCRATCH", "/tmp/checkpoints"))
     )
     for k, v in RECOMMENDED_CONF.items():
         b = b.config(k, v)

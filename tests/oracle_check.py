@@ -86,7 +86,7 @@ def main(argv):
     import __spark_entry__ as e
 
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
-    keys = argv[1:] or list(e.queries())
+    keys = argv[1:] or list(e.oracle_sql())
     spark = make_session()
     con = duck(sf_dir)
     qs, sqls = e.queries(), e.oracle_sql()
