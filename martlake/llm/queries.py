@@ -5,15 +5,28 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 
-from martlake.llm import line_dedup, repetition
+from martlake.llm import line_dedup, repetition, secret_ledger, token_shortcut
 from martlake.llm.oracle import ORACLE_SQL
 from martlake.llm.tables import documents
 
+#: Vocabulary file of the token counts.
+TOKENIZER = "byte_bpe_50k.json"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_ledger.secret_report(documents(spark, sf_dir))
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(tokenizer_path(TOKENIZER), encoding="utf-8") as f:
+        return token_shortcut.token_counts(documents(spark, sf_dir), f.read())
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.verdict(repetition.repetition_measures(documents(spark, sf_dir)))
 
@@ -24,7 +37,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op9_quality_rules, op10_line_dedup)
+    for f in (op2_secret_scan, op4_token_counts, op9_quality_rules, op10_line_dedup)
 }
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
