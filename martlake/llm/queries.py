@@ -8,7 +8,7 @@ from collections.abc import Callable
 from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 
-from martlake.llm import line_dedup, repetition, secret_ledger, token_shortcut
+from martlake.llm import line_dedup, parity_join, repetition, secret_ledger, token_shortcut
 from martlake.llm.oracle import ORACLE_SQL
 from martlake.llm.tables import documents
 
@@ -27,6 +27,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         return token_shortcut.token_counts(documents(spark, sf_dir), f.read())
 
 
+def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parity_join.similarity_components(documents(spark, sf_dir), parity_join.Join(n=3, num=90, den=100))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.verdict(repetition.repetition_measures(documents(spark, sf_dir)))
 
@@ -37,7 +41,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op2_secret_scan, op4_token_counts, op9_quality_rules, op10_line_dedup)
+    for f in (op2_secret_scan, op4_token_counts, op7_ngram_jaccard_join, op9_quality_rules, op10_line_dedup)
 }
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
