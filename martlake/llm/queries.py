@@ -8,9 +8,9 @@ from collections.abc import Callable
 from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 
-from martlake.llm import line_dedup, parity_join, repetition, secret_ledger, token_shortcut
+from martlake.llm import decontam, line_dedup, mixing, parity_join, repetition, secret_ledger, token_shortcut
 from martlake.llm.oracle import ORACLE_SQL
-from martlake.llm.tables import documents
+from martlake.llm.tables import documents, table
 
 #: Vocabulary file of the token counts.
 TOKENIZER = "byte_bpe_50k.json"
@@ -27,6 +27,14 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         return token_shortcut.token_counts(documents(spark, sf_dir), f.read())
 
 
+def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(documents(spark, sf_dir))
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.leak_report(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parity_join.similarity_components(documents(spark, sf_dir), parity_join.Join(n=3, num=90, den=100))
 
@@ -41,7 +49,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op2_secret_scan, op4_token_counts, op7_ngram_jaccard_join, op9_quality_rules, op10_line_dedup)
+    for f in (op2_secret_scan, op4_token_counts, op5_source_mixing, op6_decontamination, op7_ngram_jaccard_join, op9_quality_rules, op10_line_dedup)
 }
 
 __all__ = ["ORACLE_SQL", "QUERIES"]

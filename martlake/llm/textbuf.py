@@ -41,14 +41,26 @@ def _stream(seed: int, n: int) -> np.ndarray:
     return mix64(np.arange(1, n + 1, dtype=_U) * _U(0x9E3779B97F4A7C15) + _U(seed))
 
 
-@functools.lru_cache(maxsize=8)
+class _Tables(dict):
+    """Kept within a process; sent to others empty."""
+
+    def __reduce__(self):
+        return _Tables, ()
+
+
+_TABLES = _Tables()
+
+
 def _powers(seed: int, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Byte values, powers and inverse powers of an odd base modulo 2**64."""
+    if (seed, size) in _TABLES:
+        return _TABLES[seed, size]
     base = int(_stream(seed + 77, 1)[0]) | 1
     inverse = pow(base, -1, 1 << 64)
     up, down = np.full(size + 1, base, dtype=_U), np.full(size + 1, inverse, dtype=_U)
     up[0] = down[0] = 1
-    return _stream(seed, 256), np.multiply.accumulate(up), np.multiply.accumulate(down)
+    _TABLES[seed, size] = _stream(seed, 256), np.multiply.accumulate(up), np.multiply.accumulate(down)
+    return _TABLES[seed, size]
 
 
 def _size_class(n: int) -> int:
