@@ -8,7 +8,10 @@ from collections.abc import Callable
 from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 
-from martlake.llm import decontam, line_dedup, mixing, parity_join, repetition, secret_ledger, token_shortcut
+from martlake.llm import (
+    chat_hmm, column_dedup, decontam, line_dedup, mixing, parity_join, repetition, secret_ledger, token_shortcut,
+    weak_toxicity,
+)
 from martlake.llm.oracle import ORACLE_SQL
 from martlake.llm.tables import documents, table
 
@@ -18,10 +21,18 @@ TOKENIZER = "byte_bpe_50k.json"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_hmm.formatted(table(spark, sf_dir, "conversations"))
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_ledger.secret_report(documents(spark, sf_dir))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weak_toxicity.toxicity(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     with open(tokenizer_path(TOKENIZER), encoding="utf-8") as f:
         return token_shortcut.token_counts(documents(spark, sf_dir), f.read())
@@ -39,6 +50,10 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parity_join.similarity_components(documents(spark, sf_dir), parity_join.Join(n=3, num=90, den=100))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return column_dedup.removal_report(documents(spark, sf_dir))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.verdict(repetition.repetition_measures(documents(spark, sf_dir)))
 
@@ -49,7 +64,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op2_secret_scan, op4_token_counts, op5_source_mixing, op6_decontamination, op7_ngram_jaccard_join, op9_quality_rules, op10_line_dedup)
+    for f in (
+        op1_chat_format, op2_secret_scan, op3_toxicity, op4_token_counts, op5_source_mixing, op6_decontamination,
+        op7_ngram_jaccard_join, op8_suffix_dedup, op9_quality_rules, op10_line_dedup,
+    )
 }
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
