@@ -106,9 +106,11 @@ class Reader:
         """Hashed places of the words, each once."""
         if len(self.places) > 400_000:
             self.places.clear()
-        for w in words - self.places.keys():
-            self.places[w] = zlib.crc32(w.encode("utf-8", "surrogatepass")) % DIMENSIONS
-        return np.unique(np.fromiter(map(self.places.__getitem__, words), np.int64, len(words)))
+        places = self.places
+        for w in words:
+            if w not in places:
+                places[w] = zlib.crc32(w.encode("utf-8", "surrogatepass")) % DIMENSIONS
+        return np.unique(np.fromiter(map(places.__getitem__, words), np.int64, len(words)))
 
 
 def votes_of(docs: DataFrame) -> DataFrame:
