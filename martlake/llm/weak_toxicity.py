@@ -1,7 +1,9 @@
 """Toxicity by weak supervision.
 
-*Voters.*  Each lexicon family and each pattern of ``VOTERS`` either fires on a
-text or not.  A document's votes are one bit mask.
+*Voters.*  Each lexicon family, each pattern and each group of mined stems either
+fires on a text or not; a document's votes are one bit mask.  Stems are word
+beginnings that stand out in labelled toxic rows (``mine``), for insults that no
+list here has; they are dealt over ``MINED`` voters in order of frequency.
 
 *Label model.*  A hidden class (toxic or not) generates the votes.  Voters are
 grouped into cliques: pairs whose votes stay correlated, given the class, share
@@ -11,10 +13,10 @@ estimated by EM from counts of vote masks (as many rows as masks occur, however
 large the corpus), first with independent voters, then with the correlated
 pairs found from the residual covariances.
 
-*Classifier.*  A logistic regression over the votes and hashed distinct words
-is trained on the posterior labels, each row counted with both classes by its
-posterior.  It is fitted on at most ``SAMPLE_ROWS`` labelled rows, those with the
-smallest hash of their id.  A score reads nothing but the text.
+*Classifier.*  A logistic regression over the votes and hashed distinct words is
+trained on the posterior labels, each row counted with both classes by its
+posterior.  It is fitted, and stems are mined, on at most ``SAMPLE_ROWS`` labelled
+rows, those with the smallest hash of their id.  A score reads nothing but the text.
 
 Only rows that are not held out (see ``held_out``) teach anything.
 
@@ -36,7 +38,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.linalg import SparseVector, VectorUDT
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martlake.llm.tables import written
@@ -49,10 +51,10 @@ LEXICON: dict[str, str] = {
     "clown": "clown clowns payaso buffoon",
     "loser": "loser losers versager perdedor",
     "scum": "scum scumbag vermin abschaum",
-    "trash": "trash garbage filth filthy basura ordure",
+    "trash": "trash garbage filthy basura",
     "worthless": "worthless useless wertlos",
     "pathetic": "pathetic pitiful erbärmlich pathétique patético",
-    "disgusting": "disgusting vile repulsive ekelhaft dégoûtant asqueroso",
+    "disgusting": "disgusting repulsive ekelhaft dégoûtant asqueroso",
     "hate": "hate hateful despise",
 }
 #: Patterns over the whole text.
@@ -63,13 +65,21 @@ PATTERNS: dict[str, str] = {
     "you_are": r"(?i)\b(?:you|you're|du bist|tu es|eres)\s+(?:are\s+)?(?:an?\s+|ein\s+|un\s+)?\w+",
     "stretched": r"(\w)\1{4,}",
 }
-VOTERS = [*LEXICON, *PATTERNS]
+#: Voters that the mined stems are dealt over, and stems per voter at most.
+MINED, STEMS_EACH = 12, 4
+STEM_LENGTHS = (4, 5, 6, 7, 8)
+#: A stem stands out if its share of toxic rows is this many times its share
+#: of the others, and at least ``STEM_SHARE`` of them (``STEM_ROWS`` rows).
+STEM_RATIO, STEM_SHARE, STEM_ROWS = 15.0, 0.01, 3
+VOTERS = [*LEXICON, *PATTERNS, *(f"stems_{i}" for i in range(MINED))]
 
 DIMENSIONS = 1 << 15
 SAMPLE_ROWS = 20_000
 #: A pair of voters whose residual correlation, given the class, is larger
 #: than this shares a joint table.
 CORRELATED = 0.1
+#: Weight of the squared coefficients in the classifier's loss.
+PENALTY = 1e-5
 _WORD = r"[^\W\d_]+"
 
 
@@ -85,7 +95,11 @@ def held_out(id_column: str = "doc_id") -> Column:
 class Reader:
     """Votes and word features of texts."""
 
-    def __init__(self):
+    def __init__(self, stems: tuple[str, ...] = ()):
+        first = len(LEXICON) + len(PATTERNS)
+        self.stems = {s: 1 << (first + i % MINED) for i, s in enumerate(stems)}
+        self.short = {s[: STEM_LENGTHS[0]] for s in stems}
+        self.lengths = sorted({len(s) for s in stems})
         self.words = re.compile(_WORD).findall
         self.family = {w: 1 << i for i, ws in enumerate(LEXICON.values()) for w in ws.split()}
         self.patterns = [(re.compile(p).search, 1 << (len(LEXICON) + i)) for i, p in enumerate(PATTERNS.values())]
@@ -100,6 +114,11 @@ class Reader:
         for search, bit in self.patterns:
             if search(text):
                 votes |= bit
+        if self.stems:
+            size = STEM_LENGTHS[0]
+            for w in [w for w in words if w[:size] in self.short]:
+                for n in self.lengths:
+                    votes |= self.stems.get(w[:n], 0)
         return votes, words
 
     def features(self, words: set[str]) -> np.ndarray:
@@ -113,11 +132,47 @@ class Reader:
         return np.unique(np.fromiter(map(places.__getitem__, words), np.int64, len(words)))
 
 
-def votes_of(docs: DataFrame) -> DataFrame:
+def mine(rows: DataFrame) -> tuple[str, ...]:
+    """Word beginnings that stand out in the toxic ones of some labelled rows
+    (text, toxic), most frequent first; none that begins with another."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        find, listed = re.compile(_WORD).findall, {w for ws in LEXICON.values() for w in ws.split()}
+        for batch in batches:
+            seen: dict[str, list[int]] = {}
+            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                words = set(find((text or "").lower())) - listed
+                for s in {w[:n] for w in words for n in STEM_LENGTHS if len(w) >= n}:
+                    seen.setdefault(s, [0, 0])[toxic] += 1
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(seen), pa.string()), *(pa.array([c[i] for c in seen.values()], pa.int64()) for i in (0, 1))],
+                ["stem", "clean", "toxic"],
+            )
+
+    size = rows.groupBy("toxic").count().collect()
+    n = {r["toxic"]: r["count"] for r in size}
+    n_toxic, n_clean = n.get(1, 0), n.get(0, 0)
+    least = max(STEM_ROWS, STEM_SHARE * n_toxic)
+    counted = rows.mapInArrow(run, "stem string, clean long, toxic long").groupBy("stem").agg(
+        F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")
+    )
+    standing = counted.filter(
+        (F.col("toxic") >= least) & (F.col("toxic") * (n_clean + 1) >= STEM_RATIO * (F.col("clean") + 0.5) * n_toxic)
+    )
+    # the most frequent ones; a longer stem is as frequent as its beginning at most
+    top = standing.orderBy(F.desc("toxic"), F.length("stem"), "stem").limit(50 * MINED * STEMS_EACH).collect()
+    out: list[str] = []
+    for r in top:
+        if len(out) < MINED * STEMS_EACH and not any(r["stem"].startswith(s) or s.startswith(r["stem"]) for s in out):
+            out.append(r["stem"])
+    return tuple(out)
+
+
+def votes_of(docs: DataFrame, stems: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, votes) of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader()
+        reader = Reader(stems)
         for batch in batches:
             votes = [reader.read(t.as_py())[0] for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(votes, pa.int64())], ["doc_id", "votes"])
@@ -134,8 +189,8 @@ class LabelModel:
         self.cliques: list[tuple[int, ...]] = [(j,) for j in range(n_voters)]
         self.rate = 0.1
         # voters that read words are first taken to be reliable, patterns not
-        n_words = len(LEXICON)
-        self.tables = [np.array([[0.98, 0.02], [0.7, 0.3]]) if j < n_words else np.array([[0.9, 0.1], [0.85, 0.15]])
+        patterns = range(len(LEXICON), len(LEXICON) + len(PATTERNS))
+        self.tables = [np.array([[0.9, 0.1], [0.85, 0.15]] if j in patterns else [[0.98, 0.02], [0.7, 0.3]])
                        for j in range(n_voters)]
         self.label = np.array([[0.95, 0.05], [0.1, 0.9]])
 
@@ -211,6 +266,7 @@ class Scorer:
     """Scores texts; sent to executors (its size depends on ``DIMENSIONS`` only)."""
 
     labels: LabelModel
+    stems: tuple[str, ...] = ()
     intercept: float = 0.0
     weights: np.ndarray | None = None
 
@@ -230,9 +286,13 @@ class Scorer:
 
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Scorer:
     """Learns from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic)."""
-    votes = written(votes_of(docs.filter(~held_out())), "votes")
     given = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out())
     given = given.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    sample = given.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
+    # at most sample_rows ids
+    texts = written(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", "toxic"), "sample")
+    stems = mine(texts.distinct())
+    votes = written(votes_of(docs.filter(~held_out()), stems), "votes")
     counted = (
         votes.join(given, "doc_id", "left").groupBy("votes", F.coalesce("toxic", F.lit(-1)).alias("toxic"))
         .agg(F.count(F.lit(1)).alias("n")).collect()  # a row per vote mask and label that occur
@@ -241,11 +301,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> S
     masks, known, counts = (np.array([r[i] for r in counted], dtype=np.int64) for i in range(3))
     model = LabelModel(len(VOTERS)).fit(masks, known, counts.astype(float))
 
-    sample = given.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
     table = {(int(m), int(k)): float(p) for m, k, p in zip(masks, known, model.posterior(masks, known))} if len(masks) else {}
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader()
+        reader = Reader(stems)
         for batch in batches:
             out = []
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -257,11 +316,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> S
                 ["p", "votes", "places"],
             )
 
-    # at most sample_rows ids
-    texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", "toxic")
     drawn = written(texts.mapInArrow(rows, "p double, votes long, places array<long>"), "training-rows")
     if drawn.isEmpty():
-        return Scorer(model)
+        return Scorer(model, stems)
 
     @F.udf(VectorUDT())
     def vector(mask, places):
@@ -275,27 +332,26 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> S
     )
     both = written(both.filter("weight > 0"), "training-classes")
     trained = LogisticRegression(
-        weightCol="weight", regParam=1e-3, maxIter=60, standardization=False, family="binomial"
+        weightCol="weight", regParam=PENALTY, maxIter=100, standardization=False, family="binomial"
     ).fit(both)
-    return Scorer(model, float(trained.intercept), np.array(trained.coefficients.toArray()))
+    return Scorer(model, stems, float(trained.intercept), np.array(trained.coefficients.toArray()))
 
 
-def score_column(scorer: Scorer, spark: SparkSession):
-    """Score of a text column, as a function."""
-    shared = spark.sparkContext.broadcast(scorer)
+def score_column(scorer: Scorer):
+    """Score of a text column, as a function; the scorer travels with it."""
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        reader, model = Reader(), shared.value
+        reader = Reader(scorer.stems)
         for texts in batches:
-            yield pd.Series([model.score(reader, t) for t in texts], dtype=float)
+            yield pd.Series([scorer.score(reader, t) for t in texts], dtype=float)
 
     return score
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Per document: doc_id, held_out, score, predicted."""
-    score = score_column(fit(docs, labels), docs.sparkSession)
+    score = score_column(fit(docs, labels))
     return docs.select("doc_id", held_out().alias("held_out"), score("text").alias("score")).withColumn(
         "predicted", (F.col("score") >= 0.5).cast("int")
     )
@@ -303,5 +359,5 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are not predicted toxic; columns as they were."""
-    score = score_column(fit(docs, labels), docs.sparkSession)
+    score = score_column(fit(docs, labels))
     return docs.filter(score("text") < 0.5)

@@ -33,11 +33,14 @@ def test_held_out_accuracy(scored):
     neg = [scored[d]["score"] for d in held if not labels[d]]
     auc = np.mean([(p > n) + 0.5 * (p == n) for p in pos for n in neg])
     assert auc > 0.85
-    # clean texts are left alone
+    # clean texts are left alone: rows labelled 0 are hardly ever predicted 1
+    wrong = sum(scored[d]["predicted"] for d in held if not labels[d])
+    assert wrong < 0.02 * len(held)
+    # a listed insult is always caught
     reader = Reader()
     n_words = len(LEXICON)
-    clean = [d for d, t in text.items() if not reader.read(t)[0] & ((1 << n_words) - 1)]
-    assert sum(scored[d]["predicted"] for d in clean) < 0.002 * len(clean)
+    insulting = [d for d, t in text.items() if reader.read(t)[0] & ((1 << n_words) - 1)]
+    assert sum(scored[d]["predicted"] for d in insulting) > 0.98 * len(insulting)
 
 
 def test_scores_read_only_texts(spark):
