@@ -15,7 +15,6 @@ from martlake.operators.summary import (
     category_stats,
     daily_order_stats,
     first_order_per_customer,
-    new_customers_per_day,
 )
 
 __all__ = [
@@ -26,7 +25,6 @@ __all__ = [
     "gmv_trend",
     "kpi_values",
     "metric_catalog",
-    "new_customers_per_day",
     "order_item_totals",
     "order_item_wide",
     "order_wide",

@@ -56,14 +56,16 @@ def order_wide(
     payments: DataFrame,
     *,
     keep_invalid: bool = False,
+    items: DataFrame | None = None,
     load_date=None,
 ) -> DataFrame:
     """One row per order with customer, payment summary and delivery columns.
 
     Rows missing ``order_id`` or the purchase time are dropped (default) or,
     with ``keep_invalid=True``, kept with ``is_valid = 0``.  The quality filter
-    runs before the joins so dirty rows are never shuffled.  ``load_date``
-    (a Column) adds ``etl_date``.
+    runs before the joins so dirty rows are never shuffled.  ``items`` adds
+    the order's freight total, item price total and item count (0 without
+    items); ``load_date`` (a Column) adds ``etl_date``.
     """
     valid = _is_valid(orders)
     base = orders.withColumn("is_valid", F.when(valid, 1).otherwise(0))
@@ -76,20 +78,24 @@ def order_wide(
         "customer_city",
         "customer_state",
     )
-    wide = lookup_left(base, cust, "customer_id", spread_by=["order_id"])
-    wide = lookup_left(
-        wide, payment_summary(payments), "order_id", spread_by=["customer_id"]
-    )
+    wide = lookup_left(base, cust, "customer_id", ["order_id", "order_purchase_timestamp"])
+    per_order = [payment_summary(payments)] + ([order_item_totals(items)] if items is not None else [])
+    for totals in per_order:
+        if keep_invalid:
+            wide = lookup_left(wide, totals, "order_id", ["customer_id", "order_purchase_timestamp"])
+        else:  # no NULL order id is left
+            wide = wide.join(totals, "order_id", "left")
     delivered, estimated = (
         F.col("order_delivered_customer_date"),
         F.col("order_estimated_delivery_date"),
     )
-    late = (
-        F.when(F.to_date(delivered) > F.to_date(estimated), 1)
-        .when(delivered.isNull(), F.lit(None))
-        .otherwise(0)
-    )
+    # unknown until delivered; without an estimate nothing is late
+    after = F.coalesce(day_span(delivered, estimated) > 0, F.lit(False))
+    late = F.when(delivered.isNotNull(), after.cast("int"))
     order_cols = [c for c in orders.columns if c not in ("order_id", "customer_id")]
+    totals_columns = [] if items is None else [
+        "total_freight_value", "total_item_price", F.coalesce("item_count", F.lit(0).cast("long")).alias("item_count"),
+    ]
     out = wide.select(
         "order_id",
         "customer_id",
@@ -106,6 +112,7 @@ def order_wide(
         late.cast("int").alias("is_late_delivery"),
         purchase_date("order_purchase_timestamp").alias("order_purchase_date"),
         F.col("is_valid").cast("int").alias("is_valid"),
+        *totals_columns,
     )
     if load_date is not None:
         out = out.withColumn("etl_date", load_date)
@@ -115,9 +122,7 @@ def order_wide(
 def order_item_wide(items: DataFrame, products: DataFrame, *, load_time=None) -> DataFrame:
     """One row per order item with its product's category and weight."""
     prod = products.select("product_id", "product_category_name", "product_weight_g")
-    out = lookup_left(
-        items, prod, "product_id", spread_by=["order_id"]
-    ).select(
+    out = lookup_left(items, prod, "product_id", ["order_id", "order_item_id"]).select(
         "order_id",
         "order_item_id",
         "product_id",

@@ -5,35 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_SALT = "_null_key_salt"
-SALT_BUCKETS = 64
+_KEY, _DIM_KEY = "_lookup_key", "_dim_key"
 
 
-def lookup_left(
-    fact: DataFrame, dim: DataFrame, key: str, spread_by: list[str] | None = None
-) -> DataFrame:
-    """``fact LEFT JOIN dim USING (key)`` that spreads NULL fact keys.
+def lookup_left(fact: DataFrame, dim: DataFrame, key: str, row_key: list[str]) -> DataFrame:
+    """``fact LEFT JOIN dim USING (key)``, with NULL fact keys spread.
 
-    A NULL key never matches, but a plain shuffle join hashes every NULL key
-    to the same reducer.  The join runs on ``(key, salt)``: non-NULL keys get
-    salt 0 on both sides, NULL keys get a salt hashed from ``spread_by`` (a
-    row key of the fact, e.g. its id; default: all fact columns), so they
-    spread over ``SALT_BUCKETS`` reducers and still match nothing.  Keep
-    ``spread_by`` narrow: its columns are read even when nothing else needs them.  Hot
-    non-NULL keys are split by AQE's skew-join handling (the fact side of a
-    left join is splittable); the dimension is unique per key, so a split
-    never multiplies rows.  Output columns: ``key``, fact columns, dim columns.
+    A NULL key matches nothing, yet a plain shuffle join sends every NULL to
+    one reducer.  Here a NULL key is replaced by a text made of a hash of
+    ``row_key`` (columns that tell fact rows apart; keep them few, they are
+    read even if nothing else needs them), so those rows spread over all
+    reducers.  The join also asks for a key that is not NULL, in case a
+    dimension key looks like such a text.  Hot keys that are not NULL are split
+    by AQE's skew join; the dimension has one row per key.  ``key`` is text.
+    Output columns: ``key``, fact columns, dim columns.
     """
-    dim_cols = [c for c in dim.columns if c != key]
-    salted_fact = fact.withColumn(
-        _SALT,
-        F.when(
-            F.col(key).isNull(),
-            F.pmod(F.xxhash64(*(spread_by or fact.columns)), F.lit(SALT_BUCKETS)),
-        )
-        .otherwise(F.lit(0).cast("long")),
+    filler = F.concat(F.lit("null-"), F.xxhash64(*row_key).cast("string"))
+    left = fact.withColumn(_KEY, F.coalesce(F.col(key), filler))
+    right = dim.withColumnRenamed(key, _DIM_KEY)
+    on = (F.col(_KEY) == F.col(_DIM_KEY)) & left[key].isNotNull()
+    return left.join(right, on, "left").select(
+        key, *(c for c in fact.columns if c != key), *(c for c in dim.columns if c != key)
     )
-    salted_dim = dim.withColumn(_SALT, F.lit(0).cast("long"))
-    joined = salted_fact.join(salted_dim, [key, _SALT], "left").drop(_SALT)
-    fact_cols = [c for c in fact.columns if c != key]
-    return joined.select(key, *fact_cols, *dim_cols)

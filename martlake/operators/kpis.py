@@ -8,6 +8,7 @@ whose value is NULL (no rows, zero denominator) reports 0.0.
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,7 +33,8 @@ NOT_CONVERTED_STATUSES = ("canceled", "unavailable")
 DELIVERY_DAYS_RANGE = (0, 100)  # exclusive bounds for the delivery-time mean
 POSITIVE_SCORE = 4
 
-# The metric catalogue: name, unit, description, calculation, period (fixed values).
+# The metric catalogue: name, unit, description, calculation, period.  Names,
+# units and periods are fixed values; the texts describe this code.
 CATALOG: list[tuple[str, str, str, str, str]] = [
     (TOTAL_ORDERS, "Count", "Distinct orders in the source data",
      "COUNT(DISTINCT order_id) over source orders", "Lifetime"),
@@ -83,44 +85,42 @@ def _as_metrics(one_row: DataFrame) -> DataFrame:
     )
 
 
-def daily_kpis(daily: DataFrame) -> DataFrame:
-    """Total GMV, average order value and completion rate from the daily table."""
-    days = daily.filter(F.col("total_orders") > 0)
-    gmv_c = F.sum(cents("gmv"))
-    orders = F.sum("total_orders")
-    total = daily.filter(F.col("stat_date").isNotNull()).agg(
-        F.sum("gmv").cast("double").alias(TOTAL_GMV)
-    )
-    rates = days.agg(
-        ratio_half_up(gmv_c, orders * 100, 2).alias(AVG_ORDER_VALUE),
-        ratio_half_up(F.sum("delivered_orders") * 100, orders, 2).alias(COMPLETION_RATE),
-    )
-    return _as_metrics(total.crossJoin(rates))
+def daily_kpis(daily: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
+    """Total GMV, average order value and completion rate from the daily table:
+    one aggregate, of the metrics asked for (default: all)."""
+    has = F.col("total_orders") > 0
+    orders = F.sum(F.when(has, F.col("total_orders")))
+    metrics = {
+        TOTAL_GMV: F.sum(F.when(F.col("stat_date").isNotNull(), F.col("gmv"))).cast("double"),
+        AVG_ORDER_VALUE: ratio_half_up(F.sum(F.when(has, cents("gmv"))), orders * 100, 2),
+        COMPLETION_RATE: ratio_half_up(F.sum(F.when(has, F.col("delivered_orders"))) * 100, orders, 2),
+    }
+    return _as_metrics(daily.agg(*(metrics[n].alias(n) for n in names or metrics)))
 
 
-def order_kpis(order_wide: DataFrame) -> DataFrame:
-    """Delivery time, late rate, distinct customers, payment conversion: one scan."""
+def order_kpis(order_wide: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
+    """Delivery time, late rate, distinct customers, payment conversion, over
+    valid orders: one scan, of the metrics asked for (default: all).  Orders
+    kept although invalid count in none of them, delivery time included."""
     lo, hi = DELIVERY_DAYS_RANGE
     dd = F.col("delivery_days")
     in_range = (dd > lo) & (dd < hi)
     late = F.col("is_late_delivery")
     status = F.col("order_status")
-    valid = order_wide.filter(F.col("is_valid") == 1)
-    one = valid.agg(
-        ratio_half_up(
-            F.sum(F.when(in_range, dd)), F.count(F.when(in_range, dd)), 1
-        ).alias(AVG_DELIVERY_DAYS),
-        ratio_half_up(F.count_if(late == 1) * 100, F.count(late), 2).alias(LATE_DELIVERY_RATE),
-        F.count_distinct("customer_unique_id").alias(TOTAL_CUSTOMERS),
-        ratio_half_up(
+    metrics = {
+        AVG_DELIVERY_DAYS: ratio_half_up(F.sum(F.when(in_range, dd)), F.count(F.when(in_range, dd)), 1),
+        LATE_DELIVERY_RATE: ratio_half_up(F.count_if(late == 1) * 100, F.count(late), 2),
+        TOTAL_CUSTOMERS: F.count_distinct("customer_unique_id"),
+        PAYMENT_CONVERSION_RATE: ratio_half_up(
             F.count_if(~status.isin(*NOT_CONVERTED_STATUSES)) * 100, F.count(F.lit(1)), 2
-        ).alias(PAYMENT_CONVERSION_RATE),
-    )
-    return _as_metrics(one)
+        ),
+    }
+    valid = order_wide.filter(F.col("is_valid") == 1)
+    return _as_metrics(valid.agg(*(metrics[n].alias(n) for n in names or metrics)))
 
 
 def avg_delivery_days(order_wide: DataFrame) -> DataFrame:
-    return order_kpis(order_wide).filter(F.col("metric_name") == AVG_DELIVERY_DAYS)
+    return order_kpis(order_wide, [AVG_DELIVERY_DAYS])
 
 
 def _repurchase(per_customer: DataFrame, min_orders: int, name: str) -> DataFrame:
@@ -132,26 +132,20 @@ def _repurchase(per_customer: DataFrame, min_orders: int, name: str) -> DataFram
     return _as_metrics(one)
 
 
-def repurchase_rate(order_wide: DataFrame, min_orders: int = 2) -> DataFrame:
+def repurchase_rate(order_wide: DataFrame, min_orders: int = 2, *, unknown: bool = True) -> DataFrame:
     """Customers with >= ``min_orders`` distinct orders / customers, lifetime.
 
     Grouped by ``customer_unique_id`` with SQL GROUP BY rules: orders without
-    a known customer form one group that counts as one customer.
+    a known customer form one group that counts as one customer, unless
+    ``unknown`` is false, which leaves them out.
     """
-    per_customer = (
-        order_wide.filter(F.col("is_valid") == 1)
-        .groupBy("customer_unique_id")
-        .agg(F.count_distinct("order_id").alias("n_orders"))
-    )
+    rows = order_wide.filter(F.col("is_valid") == 1)
+    if not unknown:
+        rows = rows.filter(F.col("customer_unique_id").isNotNull())
+    per_customer = rows.groupBy("customer_unique_id").agg(F.count_distinct("order_id").alias("n_orders"))
     return _repurchase(per_customer, min_orders, REPURCHASE_RATE)
 
 
-def latest_purchase_date(order_wide: DataFrame) -> _dt.date | None:
-    """The last purchase date (one scalar, read by the driver)."""
-    row = order_wide.filter(F.col("is_valid") == 1).agg(F.max("order_purchase_date")).first()
-    return row[0] if row else None
-
-
 def repurchase_rate_30d(
     order_wide: DataFrame,
     *,
@@ -163,23 +157,15 @@ def repurchase_rate_30d(
     the last purchase date) / customers with any order in them.
 
     Customers are grouped as in ``repurchase_rate`` (the unknown customer is
-    one group).  ``as_of`` becomes a literal, so the date filter reaches the
-    scan (and prunes date partitions of a written detail layer).
+    one group).  A given ``as_of`` is a literal that reaches the scan; the
+    default is a scalar subquery of the same plan, so building the frame runs
+    no job.
     """
-    if as_of is None:
-        as_of = latest_purchase_date(order_wide)
-    if as_of is None:
-        window = order_wide.limit(0)
-    else:
-        start = as_of - _dt.timedelta(days=days)
-        d = F.col("order_purchase_date")
-        window = order_wide.filter(
-            (F.col("is_valid") == 1) & (d > F.lit(start)) & (d <= F.lit(as_of))
-        )
-    per_customer = (
-        window.groupBy("customer_unique_id")
-        .agg(F.count_distinct("order_id").alias("n_orders"))
-    )
+    valid = order_wide.filter(F.col("is_valid") == 1)
+    d = F.col("order_purchase_date")
+    last = F.lit(as_of) if as_of is not None else valid.agg(F.max(d)).scalar()
+    window = valid.filter((d > F.date_sub(last, days)) & (d <= last))
+    per_customer = window.groupBy("customer_unique_id").agg(F.count_distinct("order_id").alias("n_orders"))
     return _repurchase(per_customer, min_orders, REPURCHASE_RATE_30D)
 
 

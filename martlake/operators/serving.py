@@ -9,23 +9,24 @@ from martlake.functions.numbers import cents, ratio_half_up
 from martlake.operators.ordered import with_previous
 
 
-def top_categories(category_stats: DataFrame, k: int = 10) -> DataFrame:
+def top_categories(category_stats: DataFrame, k: int = 10, scores: DataFrame | None = None) -> DataFrame:
     """The ``k`` categories with the most revenue, their rank and share (%).
 
-    Category totals are one row per category; the grand total is a one-row
-    aggregate, so broadcasting it is bounded.  ``category_stats`` is read
-    twice (totals, grand total): pass a written table, not a long lineage.  The top-k is taken before any
-    ranking (``TakeOrderedAndProject``: each task keeps its best k), so the
-    ranking window only ever sees k rows.  Ties go to the category name.
+    The grand total is a one-row aggregate of the category totals, so
+    broadcasting it is bounded.  The top-k is taken before any ranking
+    (``TakeOrderedAndProject``: each task keeps its best k), so the ranking
+    window only ever sees k rows.  Ties go to the category name.  ``scores``
+    (one row per category, see ``category_review_scores`` with ``by_month``
+    false) adds ``avg_review_score``.
     """
     totals = category_stats.groupBy("product_category_name").agg(
         F.sum("total_revenue").alias("total_revenue"),
         F.sum("total_orders").alias("total_orders"),
     )
-    grand = category_stats.agg(F.sum("total_revenue").alias("_grand_total"))
+    grand = totals.agg(F.sum("total_revenue").alias("_grand_total"))
     order = [F.col("total_revenue").desc_nulls_last(), F.col("product_category_name").asc()]
     top = totals.orderBy(*order).limit(k)
-    return top.crossJoin(F.broadcast(grand)).select(
+    ranked = top.crossJoin(F.broadcast(grand)).select(
         F.row_number().over(Window.orderBy(*order)).alias("rank_no"),
         "product_category_name",
         "total_revenue",
@@ -34,6 +35,9 @@ def top_categories(category_stats: DataFrame, k: int = 10) -> DataFrame:
             "revenue_pct"
         ),
     )
+    if scores is None:
+        return ranked
+    return ranked.join(scores.select("product_category_name", "avg_review_score"), "product_category_name", "left")
 
 
 def gmv_trend(daily: DataFrame) -> DataFrame:

@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from martlake.functions.dates import month_key
 from martlake.operators.detail import review_summary
-from martlake.functions.numbers import cents, half_up_int, ratio_half_up
-
-# Micro-units hold a per-order mean review score before the group mean is
-# rounded to 2 decimals (keeps the whole computation in integers).
-_SCORE_UNITS = 1_000_000
+from martlake.functions.numbers import cents, ratio_half_up
 
 
 def _valid_rows(order_wide: DataFrame) -> DataFrame:
@@ -29,49 +26,48 @@ def first_order_per_customer(order_wide: DataFrame) -> DataFrame:
     )
 
 
-def new_customers_per_day(order_wide: DataFrame) -> DataFrame:
-    """Customers whose first purchase falls on each day.
-
-    A customer is new on day d when d is its first purchase date; such a
-    customer always has an order on d, so counting first dates per day gives
-    the same number as joining every order row to its customer's first date,
-    without that large join.  Both steps are partial aggregates, so a hot
-    customer or a hot day is combined before each shuffle.
-    """
-    return (
-        first_order_per_customer(_valid_rows(order_wide))
-        .filter(F.col("customer_unique_id").isNotNull())
-        .groupBy(F.col("first_order_date").alias("stat_date"))
-        .agg(F.count(F.lit(1)).alias("new_customers"))
-    )
-
-
 def daily_order_stats(order_wide: DataFrame) -> DataFrame:
     """Per purchase day: orders, delivered, canceled, GMV, order value,
-    distinct customers, new customers.  Money columns stay decimal."""
-    rows = _valid_rows(order_wide)
+    distinct customers, new customers.  Money columns stay decimal.
+
+    One pass: rows are collapsed to one per (day, order id), so a repeated id
+    is one order; then to one per (customer, day).  That table is small (a hot
+    customer, or the unknown one, has at most a row per day) and gives each
+    customer's first day; its rows per day are the day's customers, those on
+    their first day the new ones.  An order id seen with several customers on
+    a day counts for the first of them.  All sums are partial before a shuffle.
+    """
     status = F.col("order_status")
-    per_day = rows.groupBy(F.col("order_purchase_date").alias("stat_date")).agg(
-        F.count_distinct("order_id").alias("total_orders"),
-        F.count_if(status == "delivered").alias("delivered_orders"),
-        F.count_if(status == "canceled").alias("canceled_orders"),
-        F.sum("total_payment_value").alias("gmv"),
-        F.count_distinct("customer_unique_id").alias("total_customers"),
+    per_order = _valid_rows(order_wide).groupBy(
+        F.col("order_purchase_date").alias("stat_date"), "order_id"
+    ).agg(
+        F.collect_set("customer_unique_id").alias("customers"),
+        F.count_if(status == "delivered").alias("delivered"),
+        F.count_if(status == "canceled").alias("canceled"),
+        F.sum("total_payment_value").alias("money"),
     )
-    return (
-        per_day.join(new_customers_per_day(order_wide), "stat_date", "left")
-        .select(
-            "stat_date",
-            "total_orders",
-            "delivered_orders",
-            "canceled_orders",
-            "gmv",
-            ratio_half_up(cents("gmv"), F.col("total_orders") * 100, 2).alias(
-                "avg_order_value"
-            ),
-            "total_customers",
-            F.coalesce("new_customers", F.lit(0).cast("long")).alias("new_customers"),
-        )
+    by_customer = per_order.select(
+        "stat_date", "delivered", "canceled", "money", F.posexplode_outer("customers").alias("at", "customer")
+    )
+    first = F.coalesce("at", F.lit(0)) == 0
+    per_customer = by_customer.groupBy("customer", "stat_date").agg(
+        F.count_if(first).alias("orders"),
+        *(F.sum(F.when(first, F.col(c))).alias(c) for c in ("delivered", "canceled", "money")),
+    )
+    first_day = F.min("stat_date").over(Window.partitionBy("customer"))
+    known = F.col("customer").isNotNull()
+    days = per_customer.withColumn("new", known & (F.col("stat_date") == first_day)).groupBy("stat_date").agg(
+        F.sum("orders").alias("total_orders"),
+        F.sum("delivered").alias("delivered_orders"),
+        F.sum("canceled").alias("canceled_orders"),
+        F.sum("money").cast(DecimalType(32, 2)).alias("gmv"),
+        F.count("customer").alias("total_customers"),
+        F.count_if("new").alias("new_customers"),
+    )
+    value = ratio_half_up(cents("gmv"), F.col("total_orders") * 100, 2)
+    return days.select(
+        "stat_date", "total_orders", "delivered_orders", "canceled_orders", "gmv",
+        value.alias("avg_order_value"), "total_customers", "new_customers",
     )
 
 
@@ -94,57 +90,75 @@ def _order_categories(order_item_wide: DataFrame) -> DataFrame:
     )
 
 
-def category_stats(order_wide: DataFrame, order_item_wide: DataFrame) -> DataFrame:
-    """Per month and category: distinct orders, revenue, mean item price."""
+_MONTH_CATEGORY = ["stat_month", "product_category_name"]
+
+
+def category_stats(
+    order_wide: DataFrame, order_item_wide: DataFrame, reviews: DataFrame | None = None
+) -> DataFrame:
+    """Per month and category: distinct orders, revenue, mean item price, and,
+    given ``reviews``, the mean review score (NULL without a scored order)."""
     joined = _order_months(order_wide).join(_order_categories(order_item_wide), "order_id")
-    agg = joined.groupBy("stat_month", "product_category_name").agg(
+    agg = joined.groupBy(*_MONTH_CATEGORY).agg(
         F.count_distinct("order_id").alias("total_orders"),
         F.sum("price_sum").alias("total_revenue"),
         F.sum("price_count").alias("price_count"),
     )
-    return agg.select(
-        "stat_month",
-        "product_category_name",
+    out = agg.select(
+        *_MONTH_CATEGORY,
         "total_orders",
         "total_revenue",
-        ratio_half_up(cents("total_revenue"), F.col("price_count") * 100, 2).alias(
-            "avg_item_price"
-        ),
+        ratio_half_up(cents("total_revenue"), F.col("price_count") * 100, 2).alias("avg_item_price"),
     )
+    if reviews is None:
+        return out
+    scores = category_review_scores(order_wide, order_item_wide, reviews).drop("reviewed_orders")
+    return out.join(scores, _MONTH_CATEGORY, "left")
+
+
+def _fraction_sum(parts: str):
+    """Sum of S / c over an array of (c, S), as an exact (num, den).  Counts
+    come largest first, so that a divisor of the denominator leaves it as it
+    is; whole numbers of 38 digits, beyond which Spark raises an error."""
+    wide = lambda c: c.cast(DecimalType(38, 0))
+
+    def add(acc, x):
+        c, s, num, den = wide(x["c"]), wide(x["s"]), acc["num"], acc["den"]
+        fits = F.pmod(den, c) == 0
+        return F.struct(
+            wide(F.when(fits, num + s * wide(den / c)).otherwise(num * c + s * den)).alias("num"),
+            wide(F.when(fits, den).otherwise(den * c)).alias("den"),
+        )
+
+    zero = F.struct(wide(F.lit(0)).alias("num"), wide(F.lit(1)).alias("den"))
+    return F.aggregate(F.sort_array(parts, asc=False), zero, add)
 
 
 def category_review_scores(
-    order_wide: DataFrame, order_item_wide: DataFrame, reviews: DataFrame
+    order_wide: DataFrame, order_item_wide: DataFrame, reviews: DataFrame, *, by_month: bool = True
 ) -> DataFrame:
-    """Per month and category: mean review score over the distinct reviewed
-    orders that bought the category (each order weighs once, whatever its
-    number of items or reviews; unreviewed orders are left out)."""
-    per_order = review_summary(reviews).select(
-        "order_id",
-        # per-order mean score in micro-units, half up
-        half_up_int(F.col("review_score_sum"), F.col("review_count"), _SCORE_UNITS).alias(
-            "score_units"
-        ),
-    )
+    """Per category, and month unless ``by_month`` is false: mean review score
+    over the distinct reviewed orders that bought the category (each order
+    weighs once, whatever its number of items or reviews; unreviewed orders
+    are left out).  The mean of means is added up in fractions by review count
+    and rounded once."""
+    by = _MONTH_CATEGORY if by_month else _MONTH_CATEGORY[1:]
+    per_order = review_summary(reviews)
     order_cats = (
         order_item_wide.filter(F.col("product_category_name").isNotNull())
         .select("order_id", "product_category_name")
+        .join(per_order.select("order_id"), "order_id", "left_semi")
         .distinct()
     )
-    joined = (
-        _order_months(order_wide)
-        .join(per_order, "order_id")
-        .join(order_cats, "order_id")
-    )
-    agg = joined.groupBy("stat_month", "product_category_name").agg(
-        F.sum("score_units").alias("units"),
-        F.count(F.lit(1)).alias("orders"),
+    joined = _order_months(order_wide).join(per_order, "order_id").join(order_cats, "order_id")
+    by_count = joined.groupBy(*by, F.col("review_count").alias("c")).agg(
+        F.sum("review_score_sum").alias("s"), F.count(F.lit(1)).alias("n")
     )
+    agg = by_count.groupBy(*by).agg(
+        F.sum("n").alias("reviewed_orders"), F.collect_list(F.struct("c", "s")).alias("parts")
+    ).withColumn("total", _fraction_sum("parts"))
     return agg.select(
-        "stat_month",
-        "product_category_name",
-        "orders",
-        ratio_half_up(F.col("units"), F.col("orders") * _SCORE_UNITS, 2).alias(
-            "avg_review_score"
-        ),
-    ).withColumnRenamed("orders", "reviewed_orders")
+        *by,
+        "reviewed_orders",
+        ratio_half_up(F.col("total.num"), F.col("total.den") * F.col("reviewed_orders"), 2).alias("avg_review_score"),
+    )

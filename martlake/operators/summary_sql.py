@@ -1,4 +1,4 @@
-"""The daily statistics written as Spark SQL over temp views.
+"""The daily statistics written as Spark SQL.
 
 Same result as ``summary.daily_order_stats``; offered for users who keep
 their logic in SQL.  The plan goes through the same optimiser, so the shape
@@ -42,13 +42,13 @@ FROM per_day p LEFT JOIN new_per_day n ON p.stat_date = n.stat_date
 """
 
 
-def daily_order_stats_sql(order_wide: DataFrame, view: str = "order_wide") -> DataFrame:
-    """Register ``order_wide`` as a temp view and run the daily SQL on it.
+def daily_order_stats_sql(order_wide: DataFrame) -> DataFrame:
+    """The daily SQL over ``order_wide``, which is passed as a parameter; no
+    view of the caller is touched.
 
     ``ROUND(gmv / total_orders, 2)`` rounds once, exactly: for
     ``decimal(22,2) / bigint`` Spark keeps the quotient to 18 places, while a
     non-tie quotient lies at least 1 / (200 * orders) from a rounding tie.
     The DataFrame form uses integer half-up rounding instead.
     """
-    order_wide.createOrReplaceTempView(view)
-    return order_wide.sparkSession.sql(DAILY_SQL.format(order_wide=view))
+    return order_wide.sparkSession.sql(DAILY_SQL, order_wide=order_wide)

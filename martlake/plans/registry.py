@@ -59,25 +59,41 @@ def _ods(table: str) -> Query:
 def _order_wide_by_day_layout(spark: SparkSession, d: str) -> DataFrame:
     path = new_scratch_dir(spark, "order_wide")
     write_layer(
-        _ow(spark, d), path, partition_by=DETAIL_PARTITION, spread_by=["order_id"]
+        _ow(spark, d), path, partition_by=DETAIL_PARTITION
     )
     back = read_layer(spark, path)
     return _out(back.filter(F.col(DETAIL_PARTITION).isNotNull()))
 
 
-def _kpi(fn: Callable[[SparkSession, str], DataFrame], name: str) -> Query:
+def _kpi(fn: Callable[[SparkSession, str, list[str]], DataFrame], name: str) -> Query:
     def q(spark: SparkSession, d: str) -> DataFrame:
-        return fn(spark, d).filter(F.col("metric_name") == name)
+        return fn(spark, d, [name])
 
     return q
 
 
-def _daily_kpis(spark, d):
-    return kpis.daily_kpis(_daily(spark, d))
+def _daily_kpis(spark, d, names):
+    return kpis.daily_kpis(_daily(spark, d), names)
 
 
-def _order_kpis(spark, d):
-    return kpis.order_kpis(_ow(spark, d))
+def _order_kpis(spark, d, names):
+    return kpis.order_kpis(_ow(spark, d), names)
+
+
+def _cats_reviewed(spark, d):
+    return summary.category_stats(_ow(spark, d), _iw(spark, d), fixture_tables(spark, d).reviews)
+
+
+def _top_reviewed(spark, d):
+    scores = summary.category_review_scores(
+        _ow(spark, d), _iw(spark, d), fixture_tables(spark, d).reviews, by_month=False
+    )
+    return serving.top_categories(_cats(spark, d), scores=scores)
+
+
+def _trend(spark, d):
+    # read twice (rows, per-year tails), so it is written once, as the job does
+    return serving.gmv_trend(write_scratch_table(_daily(spark, d), "daily"))
 
 
 def _kpi_summary(spark: SparkSession, d: str) -> DataFrame:
@@ -119,14 +135,16 @@ QUERIES: dict[str, Query] = {
     "category_review_scores": lambda s, d: _out(
         summary.category_review_scores(_ow(s, d), _iw(s, d), fixture_tables(s, d).reviews)
     ),
-    # the serving tables read their input twice (totals + grand total; rows +
-    # per-year tails), so the input is written once, as the warehouse does
-    "top_categories": lambda s, d: _out(
-        serving.top_categories(write_scratch_table(_cats(s, d), "category_stats"))
-    ),
-    "gmv_trend": lambda s, d: _out(
-        serving.gmv_trend(write_scratch_table(_daily(s, d), "daily"))
+    "category_stats_with_reviews": lambda s, d: _out(_cats_reviewed(s, d)),
+    "top_categories": lambda s, d: _out(serving.top_categories(_cats(s, d))),
+    "top_categories_with_reviews": lambda s, d: _out(_top_reviewed(s, d)),
+    "gmv_trend": lambda s, d: _out(_trend(s, d)),
+    "daily_order_stats_report": lambda s, d: serving.in_report_order(
+        _out(_daily(s, d)), "daily_order_stats"
     ),
+    "category_stats_report": lambda s, d: serving.in_report_order(_out(_cats(s, d)), "category_stats"),
+    "gmv_trend_report": lambda s, d: serving.in_report_order(_out(_trend(s, d)), "gmv_trend"),
+    "order_wide_with_items": lambda s, d: _out(_ow(s, d, items=fixture_tables(s, d).order_items)),
     "kpi_total_gmv": _kpi(_daily_kpis, kpis.TOTAL_GMV),
     "kpi_avg_order_value": _kpi(_daily_kpis, kpis.AVG_ORDER_VALUE),
     "kpi_completion_rate": _kpi(_daily_kpis, kpis.COMPLETION_RATE),

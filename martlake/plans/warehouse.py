@@ -9,6 +9,7 @@ detail tables feed several summaries without being recomputed.
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,8 +40,11 @@ def build_warehouse(
     *,
     as_of: _dt.date | None = None,
     top_k: int = 10,
+    publish: Callable[[str, str], None] | None = None,
 ) -> dict[str, str]:
-    """Run every layer; returns the path of each written table."""
+    """Run every layer; returns the path of each written table.  ``publish``
+    is called at the end with the name and path of each summary and serving
+    table, when all of them are written."""
     out = out_dir.rstrip("/")
     paths: dict[str, str] = {}
     load_time = F.current_timestamp()
@@ -52,12 +56,11 @@ def build_warehouse(
         src[table] = read_layer(spark, p).drop("etl_timestamp")
 
     ow = detail.order_wide(
-        src["orders"], src["customers"], src["payments"], load_date=F.current_date()
+        src["orders"], src["customers"], src["payments"], items=src["order_items"],
+        load_date=F.current_date(),
     )
     paths["order_wide"] = f"{out}/dwd/order_wide"
-    write_layer(
-        ow, paths["order_wide"], partition_by=DETAIL_PARTITION, spread_by=["order_id"]
-    )
+    write_layer(ow, paths["order_wide"], partition_by=DETAIL_PARTITION)
     iw = detail.order_item_wide(src["order_items"], src["products"], load_time=load_time)
     paths["order_item_wide"] = f"{out}/dwd/order_item_wide"
     write_layer(iw, paths["order_item_wide"])
@@ -85,4 +88,8 @@ def build_warehouse(
     summary_df = kpis.refresh_metrics(kpis.metric_catalog(spark), values)
     paths["kpi_summary"] = f"{out}/ads/kpi_summary"
     write_layer(summary_df, paths["kpi_summary"])
+    if publish is not None:
+        for name, path in paths.items():
+            if path.startswith((f"{out}/dws/", f"{out}/ads/")):
+                publish(name, path)
     return paths

@@ -10,25 +10,20 @@ def write_layer(
     path: str,
     *,
     partition_by: str | None = None,
-    spread_by: list[str] | None = None,
     mode: str = "overwrite",
     dynamic_overwrite: bool = False,
 ) -> None:
     """Write a layer as Parquet.
 
-    With ``partition_by`` the table is laid out in ``col=value`` folders.
-    Rows are first range-partitioned on ``(partition_by, *spread_by)`` into
-    ``spark.sql.shuffle.partitions`` tasks: the range bounds come from a
-    sample, so tasks are even, a hot value (one huge day) is split over
-    several tasks by ``spread_by``, and each task holds a contiguous run of
-    values, so a folder gets one or two files instead of one per task.  With
+    With ``partition_by`` the table is laid out in ``col=value`` folders.  The
+    rows are rebalanced on that column: AQE sees the measured sizes, puts small
+    values together into one task and splits a hot one over several, so a
+    folder gets few files and no task a whole hot day.  With
     ``dynamic_overwrite`` only the folders present in ``df`` are replaced.
     """
-    writer = df
     if partition_by is not None:
-        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        writer = df.repartitionByRange(n, partition_by, *(spread_by or []))
-    w = writer.write.mode(mode)
+        df = df.hint("rebalance", partition_by)
+    w = df.write.mode(mode)
     if dynamic_overwrite:
         w = w.option("partitionOverwriteMode", "dynamic")
     if partition_by is not None:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from martlake.schemas import (
     MULTILINE_TABLES,
@@ -13,20 +14,53 @@ from martlake.schemas import (
 )
 
 
+CORRUPT = "_corrupt_record"
+
+#: Spellings of column names that raw files are known to have (fixed values).
+COLUMN_ALIASES = {
+    "product_name_lenght": "product_name_length",
+    "product_description_lenght": "product_description_length",
+}
+
+
+def header_schema(header: list[str], table: str) -> tuple[StructType, dict[str, str]]:
+    """The read schema in the file's own column order, and the file's name of
+    each wanted column.  Unknown columns are read as text and left out; a
+    missing or doubled column is an error."""
+    wanted = {f.name: f for f in SOURCE_SCHEMAS[table].fields}
+    fields, found = [], {}
+    for name in header:
+        plain = name.strip().lower()
+        target = COLUMN_ALIASES.get(plain, plain)
+        if target in found:
+            raise ValueError(f"{table}: column {target} stands twice in the header {header}")
+        if target in wanted:
+            found[target] = name
+        fields.append(StructField(name, wanted[target].dataType if target in wanted else StringType(), True))
+    if missing := [c for c in wanted if c not in found]:
+        raise ValueError(f"{table}: the header {header} lacks {missing}")
+    return StructType([*fields, StructField(CORRUPT, StringType(), True)]), found
+
+
 def read_source_csv(
     spark: SparkSession,
     table: str,
     path: str,
     *,
     infer_schema: bool = False,
+    keep_corrupt: bool = False,
     options: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Read one raw marketplace table.
+    """Read one raw marketplace table, its columns by the header's names.
 
-    Default is the explicit schema: no inference pass, ids and zip codes stay
-    text, money is exact, and unparseable timestamps / numbers become NULL
-    (PERMISSIVE) instead of failing the job.  ``infer_schema=True`` reads the
-    file the schema-less way (one extra pass).
+    Default is the explicit schema: ids and zip codes stay text, money is
+    exact, and unparseable timestamps / numbers become NULL (PERMISSIVE)
+    instead of failing the job; ``keep_corrupt`` adds the raw text of such rows
+    as ``_corrupt_record``.  Every file's header has to equal the first one's.
+    ``infer_schema=True`` reads the schema-less way (one extra pass).
+
+    Reviews hold quoted line breaks, so one review file is one task: raw
+    reviews of any size must come as many files.
     """
     reader = (
         spark.read.option("header", True)
@@ -35,13 +69,15 @@ def read_source_csv(
         .option("timestampNTZFormat", TIMESTAMP_FORMAT)
         .option("multiLine", table in MULTILINE_TABLES)
     )
-    if infer_schema:
-        reader = reader.option("inferSchema", True)
-    else:
-        reader = reader.schema(SOURCE_SCHEMAS[table])
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
-    return reader.csv(path)
+    if infer_schema:
+        return reader.option("inferSchema", True).csv(path)
+    header = reader.csv(path).columns
+    schema, found = header_schema(header, table)
+    raw = reader.schema(schema).option("enforceSchema", False).option("columnNameOfCorruptRecord", CORRUPT).csv(path)
+    columns = [F.col(f"`{found[c]}`").alias(c) for c in SOURCE_SCHEMAS[table].fieldNames()]
+    return raw.select(*columns, *([CORRUPT] if keep_corrupt else []))
 
 
 def ingest(
@@ -53,20 +89,26 @@ def ingest(
     load_time: Column | None = None,
     with_load_time: bool = True,
     observation: Observation | None = None,
+    infer_schema: bool = False,
 ) -> DataFrame:
     """Raw CSV -> typed table (+ ``etl_timestamp``), optionally written as Parquet.
 
     When ``out_path`` is given the table is written and the written copy is
     returned, so callers read Parquet rather than re-parsing the CSV.  An
-    ``observation`` collects the row count during that write (no extra job).
+    ``observation`` collects the counts ``rows`` and ``bad_rows`` (rows with a
+    field that did not parse) during that write (no extra job).
     """
-    df = read_source_csv(spark, table, csv_path)
+    count_bad = observation is not None and not infer_schema
+    df = read_source_csv(spark, table, csv_path, infer_schema=infer_schema, keep_corrupt=count_bad)
     if with_load_time:
         df = df.withColumn(
             "etl_timestamp", load_time if load_time is not None else F.current_timestamp()
         )
     if observation is not None:
-        df = df.observe(observation, F.count(F.lit(1)).alias("rows"))
+        counts = [F.count(F.lit(1)).alias("rows")]
+        if count_bad:
+            counts.append(F.count_if(F.col(CORRUPT).isNotNull()).alias("bad_rows"))
+        df = df.observe(observation, *counts).drop(CORRUPT)
     if out_path is None:
         return df
     df.write.mode("overwrite").parquet(out_path)

@@ -21,8 +21,13 @@ ORDER_STATUS_P_URGENT = "canceled"  # P with priority 1-URGENT
 ORDER_STATUS_P_LOW = "unavailable"  # P with priority 5-LOW
 ORDER_STATUS_P_OTHER = "processing"
 PAYMENT_TYPE_BY_RETURNFLAG = {"A": "credit_card", "N": "boleto", "R": "voucher"}
-REVIEW_EVENT_TYPES = ("view", "purchase")
-CUSTOMER_DROP_MOD, CUSTOMER_DROP_REM = 50, 7  # customers left out -> orders with no customer
+SCORED_EVENT_TYPES = ("view", "purchase", "click")  # events of other types are reviews without a score
+# Orders whose customer is unknown: even keys have no customer id, odd ones an
+# id that no customer has.
+ORPHAN_MOD, ORPHAN_REM = 50, 7
+# Dirty orders: without purchase time, without order id.
+NO_TIME_MOD, NO_TIME_REM = 97, 5
+NO_ID_MOD, NO_ID_REM = 211, 3
 CUSTOMER_MERGE_MOD, CUSTOMER_MERGE_REM = 10, 1  # two customer ids, one person
 
 
@@ -45,11 +50,15 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(st == "P", ORDER_STATUS_P_OTHER)
     )
     shipped = st.isin("F", "O")
+    key, cust = F.col("o_orderkey"), F.col("o_custkey")
+    customer = F.when(cust % ORPHAN_MOD != ORPHAN_REM, cust.cast("string")).when(
+        key % 2 != 0, F.concat(F.lit("x"), cust.cast("string"))
+    )
     return o.select(
-        F.col("o_orderkey").cast("string").alias("order_id"),
-        F.col("o_custkey").cast("string").alias("customer_id"),
+        F.when(key % NO_ID_MOD != NO_ID_REM, key.cast("string")).alias("order_id"),
+        customer.alias("customer_id"),
         status.alias("order_status"),
-        d.alias("order_purchase_timestamp"),
+        F.when(key % NO_TIME_MOD != NO_TIME_REM, d).alias("order_purchase_timestamp"),
         F.when(shipped, _plus_days(d, F.lit(1))).alias("order_approved_at"),
         F.when(shipped, _plus_days(d, F.lit(2))).alias("order_delivered_carrier_date"),
         F.when(st == "F", _plus_days(d, (F.col("o_orderkey") * 37) % 130)).alias(
@@ -62,8 +71,8 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Per-order line ordinal.  The test generator bounds lines per order
-    # (TPC-H: at most 7), so the per-order window stays small; real sources
+    # Per-order line ordinal.  The test tables have a dozen or so lines per
+    # order at most, so the per-order window stays small; real sources
     # carry order_item_id / payment_sequential themselves.  The window is
     # keyed on the text order_id, so the shuffle it needs also serves the
     # later per-order aggregates and joins (which key on order_id).
@@ -129,8 +138,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("c_custkey")
     unique = F.when(key % CUSTOMER_MERGE_MOD == CUSTOMER_MERGE_REM, key - 1).otherwise(key)
     return (
-        c.filter(key % CUSTOMER_DROP_MOD != CUSTOMER_DROP_REM)
-        .join(n, c["c_nationkey"] == n["n_nationkey"], "left")
+        c.join(n, c["c_nationkey"] == n["n_nationkey"], "left")
         .select(
             key.cast("string").alias("customer_id"),
             unique.cast("string").alias("customer_unique_id"),
@@ -144,10 +152,11 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = _table(spark, sf_dir, "events")
     eid = F.col("event_id")
-    return e.filter(F.col("event_type").isin(*REVIEW_EVENT_TYPES)).select(
+    scored = F.col("event_type").isin(*SCORED_EVENT_TYPES)
+    return e.select(
         eid.cast("string").alias("review_id"),
         (F.col("user_id") * 100 + eid % 100).cast("string").alias("order_id"),
-        (eid * 7 % 5 + 1).cast("int").alias("review_score"),
+        F.when(scored, (eid * 7 % 5 + 1).cast("int")).alias("review_score"),
         F.col("event_type").alias("review_comment_title"),
         F.col("props").alias("review_comment_message"),
         F.col("ts").alias("review_creation_date"),

@@ -217,6 +217,53 @@ def test_sql_form_matches_dataframe_form(spark):
     assert sorted(map(tuple, sorted(a, key=key))) == sorted(map(tuple, sorted(b, key=key)))
 
 
+def test_review_mean_rounds_once(spark):
+    """200 orders, three of them with scores 3, 3, 4: the mean of means is
+    801 / 200 = 4.005, which is 4.01 (4.0 if each order's mean is rounded)."""
+    def scores(i):
+        return (3, 3, 4) if i < 3 else (5,) if i < 6 else (4,)
+
+    orders = _orders(spark, [(str(i), "c", "delivered", "2020-01-01 08:00:00", None, None) for i in range(200)])
+    items = spark.createDataFrame([(str(i), 1, "p", "s", None, D("1.00"), D("0.00")) for i in range(201)], schemas.ORDER_ITEMS)
+    products = spark.createDataFrame([("p", "toys", *[None] * 7)], schemas.PRODUCTS)
+    reviews = spark.createDataFrame(
+        [(f"{i}-{k}", str(i), s, None, None, None, None) for i in range(200) for k, s in enumerate(scores(i))]
+        + [("x", "7", None, None, None, None, None)], schemas.REVIEWS)
+    ow = detail.order_wide(orders, _customers(spark, []), _payments(spark, []))
+    iw = detail.order_item_wide(items, products)
+    for by_month in (True, False):
+        row = summary.category_review_scores(ow, iw, reviews, by_month=by_month).collect()[0]
+        assert (row["reviewed_orders"], row["avg_review_score"]) == (200, 4.01)
+    cats = summary.category_stats(ow, iw, reviews)
+    assert cats.collect()[0]["avg_review_score"] == 4.01
+    top = serving.top_categories(summary.category_stats(ow, iw), scores=summary.category_review_scores(ow, iw, reviews, by_month=False))
+    assert top.collect()[0]["avg_review_score"] == 4.01
+
+
+def test_daily_stats_with_a_repeated_order(spark):
+    orders = _orders(spark, [
+        ("1", "c1", "delivered", "2020-01-01 08:00:00", None, None),
+        ("1", "c1", "delivered", "2020-01-01 08:00:00", None, None),
+        ("2", "c1", "shipped", "2020-01-02 08:00:00", None, None),
+        ("3", None, "canceled", "2020-01-02 08:00:00", None, None),
+    ])
+    ow = detail.order_wide(orders, _customers(spark, [("c1", "u1", "1", "x", "SP")]), _payments(spark, [("1", 1, "b", 1, D("2.00"))]))
+    days = {r["stat_date"].day: r for r in summary.daily_order_stats(ow).collect()}
+    assert (days[1]["total_orders"], days[1]["delivered_orders"], days[1]["gmv"]) == (1, 2, D("4.00"))
+    assert (days[1]["total_customers"], days[1]["new_customers"]) == (1, 1)
+    assert (days[2]["total_orders"], days[2]["total_customers"], days[2]["new_customers"]) == (2, 1, 0)
+
+
+def test_item_totals_and_unknown_customers(spark):
+    ow = _daily_fixture(spark)
+    assert kpis.repurchase_rate(ow, unknown=False).collect()[0]["metric_value"] == 33.33
+    orders = _orders(spark, [("a", "c", "shipped", "2020-01-01 08:00:00", None, None), ("b", "c", "shipped", "2020-01-01 08:00:00", None, None)])
+    items = spark.createDataFrame([("a", i, "p", "s", None, D("1.50"), D("0.25")) for i in (1, 2)], schemas.ORDER_ITEMS)
+    out = detail.order_wide(orders, _customers(spark, []), _payments(spark, []), items=items, keep_invalid=True)
+    got = {r["order_id"]: (r["total_item_price"], r["total_freight_value"], r["item_count"]) for r in out.collect()}
+    assert got == {"a": (D("3.00"), D("0.50"), 2), "b": (None, None, 0)}
+
+
 def test_report_order(spark):
     daily = summary.daily_order_stats(_daily_fixture(spark))
     trend = serving.in_report_order(serving.gmv_trend(daily), "gmv_trend").collect()

@@ -12,7 +12,11 @@ from tests.conftest import SF01
 def test_layer_invariants(spark):
     t = fixture_tables(spark, SF01)
     ow = detail.order_wide(t.orders, t.customers, t.payments)
-    n_orders = t.orders.select("order_id").distinct().count()
+    n_orders = t.orders.filter("order_id IS NOT NULL AND order_purchase_timestamp IS NOT NULL").count()
+    assert n_orders < t.orders.count()  # dirty orders exist
+    assert detail.order_wide(t.orders, t.customers, t.payments, keep_invalid=True).count() == t.orders.count()
+    assert t.customers.count() == spark.read.parquet(f"{SF01}/customer.parquet").count()
+    assert t.reviews.count() == spark.read.parquet(f"{SF01}/events.parquet").count()
     assert ow.count() == n_orders  # no fan-out from customers or payments
     daily = summary.daily_order_stats(ow)
     sums = daily.agg(F.sum("total_orders"), F.sum("new_customers")).first()

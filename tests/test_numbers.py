@@ -19,7 +19,7 @@ def _half_up(n: int, d: int, scale: int) -> float | None:
     return sign * r / 10**scale
 
 
-@settings(max_examples=1, deadline=None)
+@settings(max_examples=8, deadline=None)
 @given(
     st.lists(
         st.tuples(
@@ -27,12 +27,12 @@ def _half_up(n: int, d: int, scale: int) -> float | None:
             st.integers(-(10**9), 10**9),
             st.sampled_from([0, 1, 2, 6]),
         ),
-        min_size=200,
-        max_size=200,
+        min_size=1,
+        max_size=40,
     )
 )
 def test_ratio_half_up_is_exact(spark, rows):
-    rows = rows + [(1, 2, 0), (-1, 2, 0), (5, 1000, 2), (2000001, 4000002 * 100, 2), (7, 0, 2)]
+    rows = rows + [(1, 2, 0), (-1, 2, 0), (5, 1000, 2), (2000001, 4000002 * 100, 2), (7, 0, 2), (10**15 - 1, 1, 6), (-(10**15), 3, 6), (1, 10**9, 6)]
     df = spark.createDataFrame(rows, "n long, d long, s int")
     out = df.select(
         "n", "d", "s",

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import re
 
-from martlake.operators import detail, serving, summary
+from martlake.operators import detail, kpis, serving, summary
+from martlake.operators.joins import lookup_left
+from martlake.session import write_scratch_table
 from martlake.sources.fixtures import fixture_tables
 from tests.conftest import SF001
 
@@ -29,14 +31,15 @@ def test_payment_summary_is_one_aggregate_shuffle(spark):
 
 def test_quality_filter_reaches_scan(spark):
     t = fixture_tables(spark, SF001)
-    p = _plan(detail.order_wide(t.orders, t.customers, t.payments))
-    assert "PushedFilters: [IsNotNull(o_orderkey), IsNotNull(o_orderdate)]" in p
+    orders = write_scratch_table(t.orders, "orders")
+    p = _plan(detail.order_wide(orders, t.customers, t.payments))
+    assert "PushedFilters: [IsNotNull(order_id), IsNotNull(order_purchase_timestamp)]" in p
 
 
 def test_scan_reads_only_needed_columns(spark):
     t = fixture_tables(spark, SF001)
     ow = detail.order_wide(t.orders, t.customers, t.payments)
-    p = _plan(summary.new_customers_per_day(ow))
+    p = _plan(summary.first_order_per_customer(ow))
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_orderdate:timestamp_ntz>" in p
     # the payment join is removed: its columns are not needed
     assert "lineitem" not in p
@@ -70,3 +73,59 @@ def test_as_of_scalar_scans_only_orders(spark):
     # max() ignores duplicates, so Catalyst drops both left joins
     assert "Join" not in p and "lineitem" not in p and "customer.parquet" not in p
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderdate:timestamp_ntz>" in p
+
+
+def test_daily_stats_is_one_pass(spark):
+    t = fixture_tables(spark, SF001)
+    ow = write_scratch_table(detail.order_wide(t.orders, t.customers, t.payments), "order_wide")
+    p = _plan(summary.daily_order_stats(ow))
+    assert p.count("Scan parquet") == 1 and "Join" not in p and "Expand" not in p, p
+    p = _plan(kpis.daily_kpis(summary.daily_order_stats(ow)))
+    assert p.count("Scan parquet") == 1 and "Join" not in p, p
+
+
+def test_only_requested_metrics_are_computed(spark):
+    t = fixture_tables(spark, SF001)
+    ow = detail.order_wide(t.orders, t.customers, t.payments)
+    p = _plan(kpis.order_kpis(ow, [kpis.AVG_DELIVERY_DAYS]))
+    assert "customer.parquet" not in p and "Expand" not in p
+
+
+def test_as_of_is_part_of_the_plan(spark):
+    t = fixture_tables(spark, SF001)
+    ow = detail.order_wide(t.orders, t.customers, t.payments)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("as-of", "building runs no job")
+    try:
+        df = kpis.repurchase_rate_30d(ow)
+        assert not tracker.getJobIdsForGroup("as-of")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert "Subquery" in _plan(df)
+
+
+def test_null_keys_spread_over_reducers(spark):
+    """With AQE off: the replaced key is the exchange's key, and 10,000 NULL
+    rows are even over all reducers."""
+    from pyspark.sql import functions as F
+
+    fact = spark.range(10_000).select(F.col("id").alias("row"), F.lit(None).cast("string").alias("k"))
+    fact = fact.union(spark.range(100).selectExpr("id", "cast(id as string)"))
+    dim = spark.range(100).selectExpr("cast(id as string) k", "id v").union(
+        spark.range(1).selectExpr("concat('null-', xxhash64(5L)) k", "-1L v")
+    )
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.shuffle.partitions": "8"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        out = lookup_left(fact, dim, "k", ["row"])
+        assert "Exchange hashpartitioning(_lookup_key" in _plan(out)
+        nulls = out.filter("k is null").groupBy(F.spark_partition_id().alias("p")).count().collect()
+        matched, total = out.filter("v is not null").count(), out.count()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert len(nulls) == 8 and max(r["count"] for r in nulls) < 1.2 * min(r["count"] for r in nulls)
+    assert (matched, total) == (100, 10_100)  # the look-alike key of the dimension matches nothing

@@ -4,6 +4,8 @@ import datetime as dt
 import os
 from decimal import Decimal
 
+import pytest
+
 from martlake.session import new_scratch_dir
 from martlake.sinks.files import write_layer
 from martlake.sinks.jdbc import jdbc_write_options
@@ -52,6 +54,84 @@ def test_ingest_writes_parquet_with_load_time(spark):
     assert "etl_timestamp" in df.columns and df.count() == 1
 
 
+def test_csv_columns_go_by_header_name(spark):
+    root = new_scratch_dir(spark, "csv")
+    c = _write(root + "/c.csv", "Customer_Unique_ID ,customer_id,extra,customer_state,customer_city,customer_zip_code_prefix\nu1,c1,?,SP,x,01310\n")
+    row = read_source_csv(spark, "customers", c).first()
+    assert tuple(row) == ("c1", "u1", "01310", "x", "SP")
+    p = _write(root + "/p.csv", "product_id,product_category_name,product_name_lenght,product_description_lenght,product_photos_qty,product_weight_g,product_length_cm,product_height_cm,product_width_cm\np1,toys,1,2,3,4,5,6,7\n")
+    assert tuple(read_source_csv(spark, "products", p).first())[2:4] == (1, 2)
+    for header in ("customer_id,customer_city\n", "customer_id,customer_id,customer_unique_id,customer_zip_code_prefix,customer_city,customer_state\n"):
+        bad = _write(new_scratch_dir(spark, "csv") + "/bad.csv", header)
+        with pytest.raises(ValueError, match="customers"):
+            read_source_csv(spark, "customers", bad)
+
+
+def test_bad_rows_are_counted(spark):
+    from pyspark.sql import Observation
+
+    root = new_scratch_dir(spark, "csv")
+    i = _write(root + "/i.csv", "order_id,order_item_id,product_id,seller_id,shipping_limit_date,price,freight_value\n"
+               "o1,1,p,s,2018-01-01 00:00:00,0.10,0.20\no2,two,p,s,2018-01-01 00:00:00,0.10,0.20\no3,3,p,s,soon,x,0.20\n")
+    seen = Observation("items")
+    df = ingest(spark, "order_items", i, root + "/ods", observation=seen)
+    assert seen.get == {"rows": 3, "bad_rows": 2} and df.count() == 3 and "_corrupt_record" not in df.columns
+    assert "etl_timestamp" in ingest(spark, "order_items", i, infer_schema=True).columns
+
+
+def test_hot_day_is_split_and_small_days_stay_whole(spark):
+    from pyspark.sql import functions as F
+
+    path = new_scratch_dir(spark, "layer")
+    day = F.when(F.col("id") % 10 < 8, F.lit(0)).otherwise((F.col("id") % 40).cast("int"))
+    df = spark.range(200_000).select(F.sha2(F.col("id").cast("string"), 256).alias("x"), F.date_add(F.lit(dt.date(2020, 1, 1)), day).alias("d"))
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", None)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        write_layer(df, path, partition_by="d")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes") if old is None else spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    files = {}
+    for r in read_layer(spark, path).select("d", F.input_file_name().alias("f")).distinct().collect():
+        files[r["d"]] = files.get(r["d"], 0) + 1
+    assert files[dt.date(2020, 1, 1)] >= 3
+    assert all(n <= 2 for d, n in files.items() if d != dt.date(2020, 1, 1))
+
+
+def test_scratch_folder_rules(spark):
+    from martlake.session import drop_scratch, scratch_root, write_scratch_table
+
+    before = spark.conf.get("spark.checkpoint.dir")
+    assert scratch_root(spark) == before.rstrip("/") and spark.conf.get("spark.checkpoint.dir") == before
+    path = new_scratch_dir(spark, "gone")
+    spark.range(3).write.parquet(path)
+    assert drop_scratch(spark, path) and not drop_scratch(spark, path)
+    with pytest.raises(ValueError):
+        drop_scratch(spark, "/tmp/elsewhere")
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        folder = None
+
+        def getConf(self):
+            return Conf()
+
+        def getCheckpointDir(self):
+            return self.folder
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_root(Session())
+    Context.folder = "hdfs://x/y/"
+    assert scratch_root(Session()) == "hdfs://x/y"
+    assert write_scratch_table is not None
+
+
 def test_partitioned_layer_prunes_dates(spark):
     path = new_scratch_dir(spark, "layer")
     df = spark.createDataFrame(

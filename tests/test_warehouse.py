@@ -21,7 +21,13 @@ def test_layers_equal_standalone_queries(spark):
     root = new_scratch_dir(spark, "wh-test")
     for table, name in SOURCE_FILES.items():
         write_source_csv(BUILDERS[table](spark, SF001), f"{root}/raw/{name}")
-    paths = build_warehouse(spark, f"{root}/raw", f"{root}/out")
+    published = {}
+    paths = build_warehouse(spark, f"{root}/raw", f"{root}/out", publish=published.__setitem__)
+    assert set(published) == {
+        "daily_order_stats", "category_stats", "category_review_scores", "top_categories", "gmv_trend", "kpi_summary"
+    }
+    assert all(read_layer(spark, p).count() for p in published.values())
+    assert {"total_freight_value", "total_item_price", "item_count"} <= set(read_layer(spark, paths["order_wide"]).columns)
     for layer in (
         "order_wide",
         "order_item_wide",
