@@ -12,9 +12,10 @@ throughout; an alignment in which some value of the item meets two values is no
 copy, and its windows do not count.  A text is contaminated by an item when the
 counted windows cover ``COVER`` percent of the item's, or ``RUN`` of them.
 
-Built-in functions only.  All windows of all texts are searched.  The benchmark
+Built-in functions only.  All windows of all texts are searched: by the longest
+plain word of each benchmark window, then by the window's hash.  The benchmark
 windows are counted first: up to ``BROADCAST_WINDOWS`` of them (a bounded table
-of three small columns) are sent to all tasks, and the texts' windows are never
+of three small columns) are sent to all tasks, and the texts' words are never
 shuffled; beyond that it is a shuffled join with the same result.
 
 Defined cases: null and empty texts match nothing; items with fewer than
@@ -50,39 +51,63 @@ def plain_words(text: Column) -> Column:
 
 def template(words: Column) -> Column:
     """The template of ``plain_words``, word for word."""
-    # the end of a sentence stays, for the names
-    numbers = F.regexp_replace(words, r"[^ 0-9]*+[0-9](?:[^ ]*[^ .!?:])?", _NUM)
+    # the end of a sentence stays, for the names; a pattern starts at a word's
+    # start only, so long words cost no more than their length
+    numbers = F.regexp_replace(words, r"(?<![^ ])[^ 0-9]*+[0-9](?:[^ ]*[^ .!?:])?", _NUM)
     units = F.regexp_replace(numbers, rf"(?i){_NUM} (?:{'|'.join(UNITS)})(?!\p{{L}})(?:[^ ]*[^ .!?:])?", f"{_NUM} {_UNIT}")
-    names = F.regexp_replace(units, r"\p{Lu}(?=\p{Ll})(?<=[^ .!?:] .)[^ ]*+", _NAME)
+    numbered = F.when(words.rlike("[0-9]"), units).otherwise(words)
+    names = F.regexp_replace(numbered, r"\p{Lu}(?=\p{Ll})(?<=[^ .!?:] .)[^ ]*+", _NAME)
     return F.lower(F.regexp_replace(names, rf"[^\p{{L}}\p{{N}} {_NUM}{_UNIT}{_NAME}]+", ""))
 
 
-def windows(table: DataFrame, key: list[str]) -> DataFrame:
-    """(key..., raw, at, words): every window, ``at`` from 0; ``raw`` is the
-    array of the text's own words, in the same places."""
+def templates(table: DataFrame, key: list[str]) -> DataFrame:
+    """(key..., raw, t): a text's own words and its template words, in the
+    same places; texts of fewer than ``WINDOW`` words are left out."""
     rows = table.withColumn("_plain", plain_words(F.col("text")))
     rows = rows.select(*key, F.split("_plain", " ").alias("raw"), F.split(template(F.col("_plain")), " ").alias("t"))
-    rows = rows.filter(F.size("t") >= WINDOW)
-    n = F.size("t") - (WINDOW - 1)
-    zipped = F.arrays_zip(*(F.slice("t", F.lit(k + 1), n).alias(f"w{k}") for k in range(WINDOW)))
-    return rows.select(*key, "raw", F.posexplode(zipped).alias("at", "w"))
+    return rows.filter(F.size("t") >= WINDOW)
 
 
-def _hash() -> Column:
-    return F.xxhash64(*(F.col("w").getField(f"w{k}") for k in range(WINDOW)))
+def _words(start: Column) -> list[Column]:
+    return [F.col("t")[start + k] for k in range(WINDOW)]
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """(window, places): per distinct window the items and places it is at, with
-    the values in its slots."""
-    places = [F.col("w").getField(f"w{k}") for k in range(WINDOW)]
+    """(item_id, at, window, word, offset, slots): every window with its hash,
+    its longest plain word (the first of equal ones) and that word's place in it,
+    and the values in its slots."""
+    rows = templates(benchmark.select("item_id", "text"), ["item_id"])
+    rows = rows.withColumn("at", F.explode(F.sequence(F.lit(0), F.size("t") - WINDOW)))
+    places = _words(F.col("at"))
     slots = F.array_compact(F.array(*(
-        F.when(p.isin(_NUM, _UNIT, _NAME), F.struct(F.lit(k).alias("k"), F.element_at("raw", F.col("at") + k + 1).alias("v")))
+        F.when(p.isin(_NUM, _UNIT, _NAME), F.struct(F.lit(k).alias("k"), F.col("raw")[F.col("at") + k].alias("v")))
         for k, p in enumerate(places)
     )))
-    rows = windows(benchmark.select("item_id", "text"), ["item_id"])
-    return rows.select("item_id", "at", _hash().alias("window"), slots.alias("slots")).filter(
-        F.size("slots") <= WINDOW - LITERALS
+    longest = F.greatest(*(
+        F.struct(F.when(p.isin(_NUM, _UNIT, _NAME), 0).otherwise(F.length(p)).alias("n"), F.lit(-k).alias("k"), p.alias("word"))
+        for k, p in enumerate(places)
+    ))
+    rows = rows.select("item_id", "at", F.xxhash64(*places).alias("window"), longest.alias("a"), slots.alias("slots"))
+    return rows.filter(F.size("slots") <= WINDOW - LITERALS).select(
+        "item_id", "at", "window", F.col("a.word").alias("word"), (-F.col("a.k")).alias("offset"), "slots"
+    )
+
+
+def window_hits(texts: DataFrame, ours: DataFrame) -> DataFrame:
+    """(row, doc_id, at, window, raw): the windows of the texts that are among
+    ``ours``.  Each word of a text is looked up once; only where a benchmark
+    window's longest word stands is a window hashed and looked up."""
+    searched = ours.select("window", "word", "offset").distinct()
+    anchors = searched.select("word", "offset").distinct()
+    if searched.count() <= BROADCAST_WINDOWS:
+        searched, anchors = F.broadcast(searched), F.broadcast(anchors)
+    rows = templates(texts, ["row", "doc_id"])
+    rows = rows.select("row", "doc_id", "raw", "t", F.posexplode("t").alias("place", "word"))
+    start = F.col("place") - F.col("offset")
+    found = rows.join(anchors, "word").filter((start >= 0) & (start + WINDOW <= F.size("t")))
+    found = found.withColumn("at", start).withColumn("window", F.xxhash64(*_words(F.col("at"))))
+    return found.join(searched, ["window", "word", "offset"]).select(
+        "row", "doc_id", "at", "window", F.slice("raw", F.col("at") + 1, F.lit(WINDOW)).alias("raw")
     )
 
 
@@ -95,13 +120,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     document and item that match; ``row`` is the document's ``row_key``."""
     ours = written(benchmark_windows(benchmark), "benchmark-windows")
     sizes = ours.groupBy("item_id").agg(F.countDistinct("at").alias("item_windows"))
-    searched = ours.select("window").distinct()
-    if searched.count() <= BROADCAST_WINDOWS:
-        searched = F.broadcast(searched)
     texts = docs.select(row_key().alias("row"), "doc_id", "text")
-    found = windows(texts, ["row", "doc_id"]).withColumn("window", _hash()).join(searched, "window")
-    found = found.select("row", "doc_id", "at", "window", F.slice("raw", F.col("at") + 1, F.lit(WINDOW)).alias("raw"))
-    found = written(found, "template-hits")
+    found = written(window_hits(texts, ours), "template-hits")
     places = ours.select("window", "item_id", F.col("at").alias("item_at"), "slots")
     hits = found.join(places, "window").withColumn("shift", F.col("at") - F.col("item_at"))
     pairs = F.transform("slots", lambda s: F.struct(
