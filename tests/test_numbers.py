@@ -19,20 +19,24 @@ def _half_up(n: int, d: int, scale: int) -> float | None:
     return sign * r / 10**scale
 
 
-@settings(max_examples=8, deadline=None)
+@settings(max_examples=5, deadline=None)
 @given(
     st.lists(
-        st.tuples(
-            st.integers(-(10**15), 10**15),
-            st.integers(-(10**9), 10**9),
-            st.sampled_from([0, 1, 2, 6]),
+        # a quotient of at most 9 digits, so that 6 decimals are exact as double
+        st.one_of(
+            st.tuples(
+                st.integers(-(10**9), 10**9), st.integers(-(10**9), 10**9), st.sampled_from([0, 1, 2, 6])
+            ),
+            st.tuples(
+                st.integers(-(10**15), 10**15), st.integers(10**6, 10**9), st.sampled_from([0, 1, 2, 6])
+            ),
         ),
         min_size=1,
         max_size=40,
     )
 )
 def test_ratio_half_up_is_exact(spark, rows):
-    rows = rows + [(1, 2, 0), (-1, 2, 0), (5, 1000, 2), (2000001, 4000002 * 100, 2), (7, 0, 2), (10**15 - 1, 1, 6), (-(10**15), 3, 6), (1, 10**9, 6)]
+    rows = rows + [(1, 2, 0), (-1, 2, 0), (5, 1000, 2), (2000001, 4000002 * 100, 2), (7, 0, 2), (9_007_199_254, 1, 6), (-(10**15), 10**6 + 3, 6), (1, 10**9, 6)]
     df = spark.createDataFrame(rows, "n long, d long, s int")
     out = df.select(
         "n", "d", "s",
