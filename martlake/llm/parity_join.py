@@ -48,7 +48,7 @@ from martlake.llm.tables import written
 from martlake.llm.textbuf import SpanHash, TextBuf, chunks, mix64, ngram_hash, whole
 
 FOLD = 16
-SPLIT = 64
+SPLIT = 4096
 #: Members of a bucket in one row of the bucket table.
 ROW_MEMBERS = 4096
 #: Nodes that a task remembers, to send copies on once.
@@ -355,11 +355,56 @@ def _open_members(lists: DataFrame, comps: DataFrame) -> DataFrame:
     return written(rows.join(mixed.select("bucket", "members"), "bucket").distinct(), "open-members")
 
 
-def _cross(members: DataFrame) -> DataFrame:
-    """Pairs of a bucket's members that are in different components so far."""
-    one = members.select("bucket", F.col("node").alias("a"), F.col("component").alias("c1"))
-    two = members.select("bucket", F.col("node").alias("b"), F.col("component").alias("c2"))
-    return one.join(two, "bucket").filter("a < b AND c1 <> c2").select("a", "b")
+def near_rows(size: np.ndarray, bits: np.ndarray, part: np.ndarray, join: Join) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of all pairs of different components whose sizes and sketches
+    allow a link; some rows against all later ones at a time."""
+    step = max(1, (1 << 16) // max(1, len(size)))
+    for at in range(0, len(size), step):
+        to = min(at + step, len(size))
+        i, j = np.nonzero((part[at:to, None] != part[None, at:]) & (np.arange(at, to)[:, None] < np.arange(at, len(size))[None]))
+        i, j = i + at, j + at
+        m = join.den * np.minimum(size[i], size[j]) >= join.num * np.maximum(size[i], size[j])
+        i, j = i[m], j[m]
+        apart = np.bitwise_count(bits[i] ^ bits[j]).sum(1, dtype=np.int64)
+        m = (join.den + join.num) * apart <= (join.den - join.num) * (size[i] + size[j])
+        if m.any():
+            yield i[m], j[m]
+
+
+def _cross(members: DataFrame, known: DataFrame, join: Join) -> DataFrame:
+    """Pairs of members of a bucket that are in different components so far
+    and whose sketches allow a link.  Sketches are compared within a task,
+    some rows at a time; only pairs that pass leave it."""
+    rows = members.select("bucket", "node", "component").join(known.select("node", "size", "bits"), "node")
+    rows = rows.select("bucket", "node", "component", "size", "bits").repartition("bucket").sortWithinPartitions("bucket")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+
+        def pairs(parts):
+            node, part, size = (np.concatenate([p[k] for p in parts]) for k in range(3))
+            bits = np.concatenate([p[3] for p in parts])
+            for i, j in near_rows(size, bits, part, join):
+                a, b = np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
+                yield _pairs_table(a, b, names=("a", "b"))
+
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            bucket, node, part, size = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(4))
+            bits = batch.column(4).flatten().to_numpy(zero_copy_only=False).view(_U).reshape(-1, FOLD)
+            start = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
+            for s, e in zip(start, np.append(start[1:], len(bucket))):
+                if held and last != bucket[s]:
+                    yield from pairs(held)
+                    held = []
+                last = bucket[s]
+                held.append((node[s:e], part[s:e], size[s:e], bits[s:e]))
+        if held:
+            yield from pairs(held)
+
+    return rows.mapInArrow(run, "a long, b long")
 
 
 def _resketched(members: DataFrame, docs: DataFrame, known: DataFrame, join: Join) -> DataFrame:
@@ -401,9 +446,9 @@ def similarity_components(docs: DataFrame, join: Join) -> DataFrame:
     rest = _open_members(lists, comps)
     if not rest.isEmpty():
         large = rest.filter(F.col("members") > SPLIT)
-        pairs = _cross(rest.filter(F.col("members") <= SPLIT))
+        pairs = _cross(rest.filter(F.col("members") <= SPLIT), known, join)
         if not large.isEmpty():
-            pairs = pairs.union(_cross(_resketched(large, docs, known, join)))
+            pairs = pairs.union(_cross(_resketched(large, docs, known, join), known, join))
         # pairs of a bucket's first node were looked at above
         pairs = pairs.distinct().join(
             star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"

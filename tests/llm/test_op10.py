@@ -7,7 +7,7 @@ import numpy as np
 
 from martlake.llm import line_dedup
 from tests.conftest import SF001, SF01
-from tests.llm.helpers import ODD_TEXTS, by_id, lower_az, make_docs, table_rows
+from tests.llm.helpers import ODD_TEXTS, lower_az, make_docs, table_rows
 
 STRIP = " \t\n\x0b\x0c\r"
 
@@ -84,4 +84,3 @@ def test_bitmap_round_trip():
     for n, gone in ((1, [0]), (8, [7]), (9, [0, 8]), (1000, range(0, 1000, 3))):
         keep = line_dedup.unpack_keep(line_dedup.pack_keep(np.array(list(gone))), n)
         assert set(np.flatnonzero(~keep)) == set(gone)
-    assert by_id is not None
