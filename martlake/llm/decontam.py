@@ -62,10 +62,10 @@ def template(words: Column) -> Column:
 
 def templates(table: DataFrame, key: list[str]) -> DataFrame:
     """(key..., raw, t): a text's own words and its template words, in the
-    same places; texts of fewer than ``WINDOW`` words are left out."""
+    same places.  No filter on them here: the optimizer would move it below the
+    projection and make every template twice."""
     rows = table.withColumn("_plain", plain_words(F.col("text")))
-    rows = rows.select(*key, F.split("_plain", " ").alias("raw"), F.split(template(F.col("_plain")), " ").alias("t"))
-    return rows.filter(F.size("t") >= WINDOW)
+    return rows.select(*key, F.split("_plain", " ").alias("raw"), F.split(template(F.col("_plain")), " ").alias("t"))
 
 
 def _words(start: Column) -> list[Column]:
@@ -76,7 +76,7 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     """(item_id, at, window, word, offset, slots): every window with its hash,
     its longest plain word (the first of equal ones) and that word's place in it,
     and the values in its slots."""
-    rows = templates(benchmark.select("item_id", "text"), ["item_id"])
+    rows = templates(benchmark.select("item_id", "text"), ["item_id"]).filter(F.size("t") >= WINDOW)
     rows = rows.withColumn("at", F.explode(F.sequence(F.lit(0), F.size("t") - WINDOW)))
     places = _words(F.col("at"))
     slots = F.array_compact(F.array(*(
@@ -102,7 +102,8 @@ def window_hits(texts: DataFrame, ours: DataFrame) -> DataFrame:
     if searched.count() <= BROADCAST_WINDOWS:
         searched, anchors = F.broadcast(searched), F.broadcast(anchors)
     rows = templates(texts, ["row", "doc_id"])
-    rows = rows.select("row", "doc_id", "raw", "t", F.posexplode("t").alias("place", "word"))
+    # outer, since the inner form also gets a filter on the array
+    rows = rows.select("row", "doc_id", "raw", "t", F.posexplode_outer("t").alias("place", "word"))
     start = F.col("place") - F.col("offset")
     found = rows.join(anchors, "word").filter((start >= 0) & (start + WINDOW <= F.size("t")))
     found = found.withColumn("at", start).withColumn("window", F.xxhash64(*_words(F.col("at"))))
