@@ -1,16 +1,29 @@
 """Benchmark decontamination by templates.
 
 Texts and benchmark items are cut into words and made into templates: words
-with a digit become a number slot, unit words after a number a unit slot,
-capitalised words inside a sentence (not those in capitals throughout) a name slot; other words are lower-cased
-and lose their punctuation.  Windows of ``WINDOW`` template words with at least
-``LITERALS`` plain words are joined by hash with those of the benchmark.
+with a digit become a number slot, unit words after a number a unit slot, names a
+name slot; other words are lower-cased and lose their punctuation.  What is a
+name depends on the reading (a capitalised word is one not in capitals
+throughout):
+
+* as written: a capitalised word inside a sentence is a name, one that opens a
+  sentence is not, and no unit opens one;
+* names: every capitalised word is a name, so names may open sentences;
+* literal: none is, so case does not count.
+
+The last two look at words without their punctuation: a stop that was changed,
+added or lost makes no difference.  Windows of ``WINDOW`` template words with at
+least ``LITERALS`` plain words are joined by hash with those of the benchmark in
+the same reading.
 
 A text and an item match along alignments (distance of the two windows).  In a
 re-parameterised copy a value of the item stands for one value of the text
-throughout; an alignment in which some value of the item meets two values is no
-copy, and its windows do not count.  A text is contaminated by an item when the
-counted windows cover ``COVER`` percent of the item's, or ``RUN`` of them.
+throughout; an alignment in which some value of the item meets two values in a
+reading is no copy there, and its windows do not count.  A text is contaminated
+by an item when the counted windows cover ``COVER`` percent of the item's, or
+``RUN`` of them, in one reading or in all together.  Counts are those of the
+first reading that matches, in the order above, all together last; then slots
+are counted in each of them.
 
 Built-in functions only.  All windows of all texts are searched: by the longest
 plain word of each benchmark window, then by the window's hash.  The benchmark
@@ -42,6 +55,10 @@ UNITS = (
 
 _NUM, _UNIT, _NAME = "\ue000", "\ue001", "\ue002"  # private-use characters; texts lose theirs
 
+#: The template column of each reading, and the number of all readings together.
+READINGS = ("written", "names", "literal")
+ANY = 9
+
 
 def plain_words(text: Column) -> Column:
     """Single spaces between words that have a letter or digit; others go."""
@@ -60,25 +77,59 @@ def template(words: Column) -> Column:
     return F.lower(F.regexp_replace(names, rf"[^\p{{L}}\p{{N}} {_NUM}{_UNIT}{_NAME}]+", ""))
 
 
+def bare_words(words: Column) -> Column:
+    """``plain_words`` without punctuation, in their own case."""
+    return F.regexp_replace(words, r"[^\p{L}\p{N} ]+", "")
+
+
+def literal_template(bare: Column) -> Column:
+    """Number and unit slots of ``bare_words``; the rest in its own case."""
+    numbers = F.regexp_replace(bare, r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*+", _NUM)
+    units = F.regexp_replace(numbers, rf"(?i){_NUM} (?:{'|'.join(UNITS)})(?![^ ])", f"{_NUM} {_UNIT}")
+    return F.when(bare.rlike("[0-9]"), units).otherwise(bare)
+
+
+def _split(words: Column) -> Column:
+    return F.split(words, " ")
+
+
 def templates(table: DataFrame, key: list[str]) -> DataFrame:
-    """(key..., raw, t): a text's own words and its template words, in the
-    same places.  No filter on them here: the optimizer would move it below the
-    projection and make every template twice."""
-    rows = table.withColumn("_plain", plain_words(F.col("text")))
-    return rows.select(*key, F.split("_plain", " ").alias("raw"), F.split(template(F.col("_plain")), " ").alias("t"))
+    """(key..., raw, v, written, names, literal): a text's own words, the same
+    in lower case without punctuation, and its template words in each reading,
+    in the same places.  No filter on them here: the optimizer would move it
+    below the projection and make every template twice."""
+    rows = table.withColumn("_plain", plain_words(F.col("text"))).withColumn("_bare", bare_words(F.col("_plain")))
+    rows = rows.withColumn("_slots", literal_template(F.col("_bare")))
+    return rows.select(
+        *key, _split(F.col("_plain")).alias("raw"), _split(F.lower("_bare")).alias("v"),
+        _split(template(F.col("_plain"))).alias("written"),
+        _split(F.lower(F.regexp_replace("_slots", r"(?<![^ ])\p{Lu}\p{Ll}[^ ]*+", _NAME))).alias("names"),
+        _split(F.lower("_slots")).alias("literal"),
+    )
+
 
+def _read(reading: Column) -> Column:
+    """The template words of the reading with that number."""
+    first, *others = READINGS
+    chosen = F.when(reading == 0, F.col(first))
+    for i, name in enumerate(others, 1):
+        chosen = chosen.when(reading == i, F.col(name))
+    return chosen
 
-def _words(start: Column) -> list[Column]:
-    return [F.col("t")[start + k] for k in range(WINDOW)]
+
+def _window(reading: Column, at: Column) -> Column:
+    return F.xxhash64(reading, F.slice(_read(reading), at + 1, F.lit(WINDOW)))
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """(item_id, at, window, word, offset, slots): every window with its hash,
-    its longest plain word (the first of equal ones) and that word's place in it,
-    and the values in its slots."""
-    rows = templates(benchmark.select("item_id", "text"), ["item_id"]).filter(F.size("t") >= WINDOW)
-    rows = rows.withColumn("at", F.explode(F.sequence(F.lit(0), F.size("t") - WINDOW)))
-    places = _words(F.col("at"))
+    """(item_id, reading, at, window, word, offset, slots): every window in each
+    reading with its hash, its longest plain word (the first of equal ones) and
+    that word's place in it, and the values in its slots."""
+    rows = templates(benchmark.select("item_id", "text"), ["item_id"]).filter(F.size("v") >= WINDOW)
+    rows = rows.withColumn("at", F.explode(F.sequence(F.lit(0), F.size("v") - WINDOW)))
+    rows = rows.withColumn("reading", F.explode(F.array(*(F.lit(i) for i in range(len(READINGS))))))
+    rows = rows.withColumn("t", _read(F.col("reading")))
+    places = [F.col("t")[F.col("at") + k] for k in range(WINDOW)]
     slots = F.array_compact(F.array(*(
         F.when(p.isin(_NUM, _UNIT, _NAME), F.struct(F.lit(k).alias("k"), F.col("raw")[F.col("at") + k].alias("v")))
         for k, p in enumerate(places)
@@ -87,27 +138,32 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
         F.struct(F.when(p.isin(_NUM, _UNIT, _NAME), 0).otherwise(F.length(p)).alias("n"), F.lit(-k).alias("k"), p.alias("word"))
         for k, p in enumerate(places)
     ))
-    rows = rows.select("item_id", "at", F.xxhash64(*places).alias("window"), longest.alias("a"), slots.alias("slots"))
+    rows = rows.select(
+        "item_id", "reading", "at", _window(F.col("reading"), F.col("at")).alias("window"), longest.alias("a"),
+        slots.alias("slots"),
+    )
     return rows.filter(F.size("slots") <= WINDOW - LITERALS).select(
-        "item_id", "at", "window", F.col("a.word").alias("word"), (-F.col("a.k")).alias("offset"), "slots"
+        "item_id", "reading", "at", "window", F.col("a.word").alias("word"), (-F.col("a.k")).alias("offset"), "slots"
     )
 
 
 def window_hits(texts: DataFrame, ours: DataFrame) -> DataFrame:
     """(row, doc_id, at, window, raw): the windows of the texts that are among
     ``ours``.  Each word of a text is looked up once; only where a benchmark
-    window's longest word stands is a window hashed and looked up."""
-    searched = ours.select("window", "word", "offset").distinct()
-    anchors = searched.select("word", "offset").distinct()
+    window's longest word stands is a window hashed, in that reading, and looked
+    up."""
+    anchor = ["word", "offset", "reading"]
+    searched = ours.select("window", *anchor).distinct()
+    anchors = searched.select(*anchor).distinct()
     if searched.count() <= BROADCAST_WINDOWS:
         searched, anchors = F.broadcast(searched), F.broadcast(anchors)
     rows = templates(texts, ["row", "doc_id"])
     # outer, since the inner form also gets a filter on the array
-    rows = rows.select("row", "doc_id", "raw", "t", F.posexplode_outer("t").alias("place", "word"))
+    rows = rows.select("*", F.posexplode_outer("v").alias("place", "word"))
     start = F.col("place") - F.col("offset")
-    found = rows.join(anchors, "word").filter((start >= 0) & (start + WINDOW <= F.size("t")))
-    found = found.withColumn("at", start).withColumn("window", F.xxhash64(*_words(F.col("at"))))
-    return found.join(searched, ["window", "word", "offset"]).select(
+    found = rows.join(anchors, "word").filter((start >= 0) & (start + WINDOW <= F.size("v")))
+    found = found.withColumn("at", start).withColumn("window", _window(F.col("reading"), F.col("at")))
+    return found.join(searched, ["window", *anchor]).select(
         "row", "doc_id", "at", "window", F.slice("raw", F.col("at") + 1, F.lit(WINDOW)).alias("raw")
     )
 
@@ -120,15 +176,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(row, doc_id, item_id, n_windows, item_windows, n_slots) of every
     document and item that match; ``row`` is the document's ``row_key``."""
     ours = written(benchmark_windows(benchmark), "benchmark-windows")
-    sizes = ours.groupBy("item_id").agg(F.countDistinct("at").alias("item_windows"))
+    read = F.explode(F.array("reading", F.lit(ANY))).alias("reading")
+    sizes = ours.select("item_id", "at", read).groupBy("item_id", "reading").agg(
+        F.countDistinct("at").alias("item_windows"))
     texts = docs.select(row_key().alias("row"), "doc_id", "text")
     found = written(window_hits(texts, ours), "template-hits")
-    places = ours.select("window", "item_id", F.col("at").alias("item_at"), "slots")
+    places = ours.select("window", "item_id", "reading", F.col("at").alias("item_at"), "slots")
     hits = found.join(places, "window").withColumn("shift", F.col("at") - F.col("item_at"))
     pairs = F.transform("slots", lambda s: F.struct(
         _value(s["v"]).alias("theirs"), _value(F.element_at("raw", s["k"] + 1)).alias("ours")))
-    hits = written(hits.select("row", "doc_id", "item_id", "shift", "item_at", pairs.alias("pairs")), "template-pairs")
-    along = ["row", "doc_id", "item_id", "shift"]
+    hits = written(hits.select("row", "doc_id", "item_id", "shift", "reading", "item_at", pairs.alias("pairs")), "template-pairs")
+    along = ["row", "doc_id", "item_id", "shift", "reading"]
     values = (
         hits.select(*along, F.explode("pairs").alias("p")).groupBy(*along, "p.theirs")
         .agg(F.min("p.ours").alias("a"), F.max("p.ours").alias("b"), F.count(F.lit(1)).alias("n"))
@@ -139,13 +197,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     good = runs.join(values, on, "left").filter("torn IS NULL OR torn = 0").select(
         *(runs[c] for c in along), "places", "n_slots"
     )
-    matched = good.groupBy("row", "doc_id", "item_id").agg(
+    pair = ["row", "doc_id", "item_id"]
+    matched = good.select(*pair, read, "places", "n_slots").groupBy(*pair, "reading").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("long").alias("n_windows"),
         F.coalesce(F.sum("n_slots"), F.lit(0)).alias("n_slots"),
     )
-    return matched.join(sizes, "item_id").filter(
+    judged = matched.join(sizes, ["item_id", "reading"]).filter(
         (100 * F.col("n_windows") >= COVER * F.col("item_windows")) | (F.col("n_windows") >= RUN)
-    ).select("row", "doc_id", "item_id", "n_windows", "item_windows", "n_slots")
+    )
+    first = F.min(F.struct("reading", "n_windows", "item_windows", "n_slots")).alias("m")
+    return judged.groupBy(*pair).agg(first).select(*pair, "m.n_windows", "m.item_windows", "m.n_slots")
 
 
 def leak_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

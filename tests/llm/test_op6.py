@@ -137,3 +137,22 @@ def test_drop_keeps_clean_rows_null_ids_and_repeats(spark, bench):
 def test_main_path_is_native(spark, bench):
     plan = leak_report(make_docs(spark, ["a"]), bench)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_names_at_sentence_starts_and_changed_stops(spark):
+    items = [
+        "Anna has 12 red apples. Boris gives her 5 more apples. How many apples does Anna have now?",
+        "Tom walks to the shop and buys 4 pens. Mary takes 3 of them home. How many pens are left for Tom today?",
+        "He counts up to 5. Seconds later the bell of the old school rings and everybody runs out into the yard",
+    ]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    plain = [regex.sub(r"[^\p{L}\p{N} ]", "", t) for t in items]
+    texts = [
+        "Clara has 15 red apples. David gives her 7 more apples. How many apples does Clara have now?",
+        "Jim walks to the shop and buys 9 pens. Lucy takes 2 of them home. How many pens are left for Jim today?",
+        "Clara has 15 red apples. Clara gives her 7 more apples. How many apples does David have now?",
+        *items, *plain, *(t.replace(".", ",") for t in items), *(t.title() for t in items), *(t.upper() for t in items),
+        *("and then " + t for t in plain),
+    ]
+    got = {x[:2] for x in run(make_docs(spark, texts), bench)}
+    assert got == {(0, 0), (1, 1)} | {(k, (k - 3) % 3) for k in range(3, len(texts))}
