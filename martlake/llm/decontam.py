@@ -9,7 +9,8 @@ throughout):
 * as written: a capitalised word inside a sentence is a name, one that opens a
   sentence is not, and no unit opens one;
 * names: every capitalised word is a name, so names may open sentences;
-* literal: none is, so case does not count.
+* literal: none is, so case does not count (as far as lower case tells: ß and SS
+  differ).
 
 The last two look at words without their punctuation: a stop that was changed,
 added or lost makes no difference.  Windows of ``WINDOW`` template words with at
@@ -25,15 +26,20 @@ by an item when the counted windows cover ``COVER`` percent of the item's, or
 first reading that matches, in the order above, all together last; then slots
 are counted in each of them.
 
+An item without a window, since it has fewer than ``WINDOW`` words or too many
+slots in all of them, has its whole text as its only window, without slots: it is
+found where all its words stand in a row, apart from case and punctuation, with
+the same numbers and names.
+
 Built-in functions only.  All windows of all texts are searched: by the longest
 plain word of each benchmark window, then by the window's hash.  The benchmark
 windows are counted first: up to ``BROADCAST_WINDOWS`` of them (a bounded table
 of three small columns) are sent to all tasks, and the texts' words are never
 shuffled; beyond that it is a shuffled join with the same result.
 
-Defined cases: null and empty texts match nothing; items with fewer than
-``WINDOW`` words have no window and match nothing; repeated rows and equal items
-give equal results; rows are told apart by id and text.
+Defined cases: texts and items that are null or have no word match nothing; an
+item of one word matches every text with that word; words of signs only, as + and
+*, are no words; repeated rows and equal items give equal results; rows are told apart by id and text.
 """
 
 from __future__ import annotations
@@ -57,6 +63,8 @@ _NUM, _UNIT, _NAME = "\ue000", "\ue001", "\ue002"  # private-use characters; tex
 
 #: The template column of each reading, and the number of all readings together.
 READINGS = ("written", "names", "literal")
+#: The own words, for items matched as a whole.
+WHOLE = len(READINGS)
 ANY = 9
 
 
@@ -114,18 +122,41 @@ def _read(reading: Column) -> Column:
     chosen = F.when(reading == 0, F.col(first))
     for i, name in enumerate(others, 1):
         chosen = chosen.when(reading == i, F.col(name))
-    return chosen
+    return chosen.when(reading == WHOLE, F.col("v"))
+
+
+def _window(reading: Column, at: Column, n: Column) -> Column:
+    return F.xxhash64(reading, F.slice(_read(reading), at + 1, n))
+
+
+def _has_window() -> Column:
+    starts = F.sequence(F.lit(0), F.size("v") - WINDOW)
 
+    def found(words: str) -> Column:
+        slots = lambda at: F.filter(F.slice(words, at + 1, WINDOW), lambda w: w.isin(_NUM, _UNIT, _NAME))
+        return F.exists(starts, lambda at: F.size(slots(at)) <= WINDOW - LITERALS)
 
-def _window(reading: Column, at: Column) -> Column:
-    return F.xxhash64(reading, F.slice(_read(reading), at + 1, F.lit(WINDOW)))
+    return F.when(F.size("v") >= WINDOW, F.greatest(*map(found, READINGS))).otherwise(False)
+
+
+def whole_items(rows: DataFrame) -> DataFrame:
+    """The one window of each item that has no other, as ``benchmark_windows``."""
+    rows = rows.filter((F.col("v")[0] != "") & ~_has_window())
+    longest = F.array_max(F.transform("v", lambda w, k: F.struct(F.length(w).alias("n"), (-k).alias("k"), w.alias("word"))))
+    reading, at = F.lit(WHOLE), F.lit(0)
+    return rows.withColumn("a", longest).select(
+        "item_id", reading.alias("reading"), at.alias("at"), F.size("v").alias("n"),
+        _window(reading, at, F.size("v")).alias("window"), F.col("a.word").alias("word"),
+        (-F.col("a.k")).alias("offset"), F.array().cast("array<struct<k:int,v:string>>").alias("slots"),
+    )
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """(item_id, reading, at, window, word, offset, slots): every window in each
-    reading with its hash, its longest plain word (the first of equal ones) and
-    that word's place in it, and the values in its slots."""
-    rows = templates(benchmark.select("item_id", "text"), ["item_id"]).filter(F.size("v") >= WINDOW)
+    """(item_id, reading, at, n, window, word, offset, slots): every window of n
+    words in each reading with its hash, its longest plain word (the first of
+    equal ones) and that word's place in it, and the values in its slots."""
+    items = templates(benchmark.select("item_id", "text"), ["item_id"])
+    rows = items.filter(F.size("v") >= WINDOW)
     rows = rows.withColumn("at", F.explode(F.sequence(F.lit(0), F.size("v") - WINDOW)))
     rows = rows.withColumn("reading", F.explode(F.array(*(F.lit(i) for i in range(len(READINGS))))))
     rows = rows.withColumn("t", _read(F.col("reading")))
@@ -139,12 +170,12 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
         for k, p in enumerate(places)
     ))
     rows = rows.select(
-        "item_id", "reading", "at", _window(F.col("reading"), F.col("at")).alias("window"), longest.alias("a"),
-        slots.alias("slots"),
+        "item_id", "reading", "at", F.lit(WINDOW).alias("n"),
+        _window(F.col("reading"), F.col("at"), F.lit(WINDOW)).alias("window"), longest.alias("a"), slots.alias("slots"),
     )
     return rows.filter(F.size("slots") <= WINDOW - LITERALS).select(
-        "item_id", "reading", "at", "window", F.col("a.word").alias("word"), (-F.col("a.k")).alias("offset"), "slots"
-    )
+        "item_id", "reading", "at", "n", "window", F.col("a.word").alias("word"), (-F.col("a.k")).alias("offset"), "slots"
+    ).unionByName(whole_items(items))
 
 
 def window_hits(texts: DataFrame, ours: DataFrame) -> DataFrame:
@@ -152,7 +183,7 @@ def window_hits(texts: DataFrame, ours: DataFrame) -> DataFrame:
     ``ours``.  Each word of a text is looked up once; only where a benchmark
     window's longest word stands is a window hashed, in that reading, and looked
     up."""
-    anchor = ["word", "offset", "reading"]
+    anchor = ["word", "offset", "reading", "n"]
     searched = ours.select("window", *anchor).distinct()
     anchors = searched.select(*anchor).distinct()
     if searched.count() <= BROADCAST_WINDOWS:
@@ -161,10 +192,10 @@ def window_hits(texts: DataFrame, ours: DataFrame) -> DataFrame:
     # outer, since the inner form also gets a filter on the array
     rows = rows.select("*", F.posexplode_outer("v").alias("place", "word"))
     start = F.col("place") - F.col("offset")
-    found = rows.join(anchors, "word").filter((start >= 0) & (start + WINDOW <= F.size("v")))
-    found = found.withColumn("at", start).withColumn("window", _window(F.col("reading"), F.col("at")))
+    found = rows.join(anchors, "word").filter((start >= 0) & (start + F.col("n") <= F.size("v")))
+    found = found.withColumn("at", start).withColumn("window", _window(F.col("reading"), F.col("at"), F.col("n")))
     return found.join(searched, ["window", *anchor]).select(
-        "row", "doc_id", "at", "window", F.slice("raw", F.col("at") + 1, F.lit(WINDOW)).alias("raw")
+        "row", "doc_id", "at", "window", F.slice("raw", F.col("at") + 1, F.col("n")).alias("raw")
     )
 
 

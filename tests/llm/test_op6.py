@@ -156,3 +156,19 @@ def test_names_at_sentence_starts_and_changed_stops(spark):
     ]
     got = {x[:2] for x in run(make_docs(spark, texts), bench)}
     assert got == {(0, 0), (1, 1)} | {(k, (k - 3) % 3) for k in range(3, len(texts))}
+
+
+def test_items_without_a_window_match_as_a_whole(spark):
+    items = [
+        "What is the capital of France?", "Compute 3 + 4 * 5 - 6 / 2 + 9 * 8 - 7", "Name the longest river of the whole continent.",
+        "Photosynthesis", None, "", "...",
+    ]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    texts = [
+        items[0], "quiz: WHAT is the Capital, of france", "What is the capital of Spain?", "what is the capital",
+        items[1], "Compute 3 + 4 * 5 - 6 / 2 + 9 * 8 - 1", "Compute 3 + 4 * 5 - 6 / 2 + 9 * 8",
+        "and so Name the longest river of the whole continent", "about photosynthesis, twice photosynthesis.",
+        "", None, "...", "x",
+    ]
+    got = {x[:2] for x in run(make_docs(spark, texts), bench)}
+    assert got == {(0, 0), (1, 0), (4, 1), (7, 2), (8, 3)}
