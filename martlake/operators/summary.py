@@ -8,7 +8,7 @@ from pyspark.sql.types import DecimalType
 
 from martlake.functions.dates import month_key
 from martlake.operators.detail import review_summary
-from martlake.functions.numbers import cents, ratio_half_up
+from martlake.functions.numbers import cents, fraction_sum_half_up, ratio_half_up
 
 
 def _valid_rows(order_wide: DataFrame) -> DataFrame:
@@ -116,24 +116,6 @@ def category_stats(
     return out.join(scores, _MONTH_CATEGORY, "left")
 
 
-def _fraction_sum(parts: str):
-    """Sum of S / c over an array of (c, S), as an exact (num, den).  Counts
-    come largest first, so that a divisor of the denominator leaves it as it
-    is; whole numbers of 38 digits, beyond which Spark raises an error."""
-    wide = lambda c: c.cast(DecimalType(38, 0))
-
-    def add(acc, x):
-        c, s, num, den = wide(x["c"]), wide(x["s"]), acc["num"], acc["den"]
-        fits = F.pmod(den, c) == 0
-        return F.struct(
-            wide(F.when(fits, num + s * wide(den / c)).otherwise(num * c + s * den)).alias("num"),
-            wide(F.when(fits, den).otherwise(den * c)).alias("den"),
-        )
-
-    zero = F.struct(wide(F.lit(0)).alias("num"), wide(F.lit(1)).alias("den"))
-    return F.aggregate(F.sort_array(parts, asc=False), zero, add)
-
-
 def category_review_scores(
     order_wide: DataFrame, order_item_wide: DataFrame, reviews: DataFrame, *, by_month: bool = True
 ) -> DataFrame:
@@ -141,7 +123,7 @@ def category_review_scores(
     over the distinct reviewed orders that bought the category (each order
     weighs once, whatever its number of items or reviews; unreviewed orders
     are left out).  The mean of means is added up in fractions by review count
-    and rounded once."""
+    and rounded once, exactly for any review counts."""
     by = _MONTH_CATEGORY if by_month else _MONTH_CATEGORY[1:]
     per_order = review_summary(reviews)
     order_cats = (
@@ -156,9 +138,9 @@ def category_review_scores(
     )
     agg = by_count.groupBy(*by).agg(
         F.sum("n").alias("reviewed_orders"), F.collect_list(F.struct("c", "s")).alias("parts")
-    ).withColumn("total", _fraction_sum("parts"))
+    )
     return agg.select(
         *by,
         "reviewed_orders",
-        ratio_half_up(F.col("total.num"), F.col("total.den") * F.col("reviewed_orders"), 2).alias("avg_review_score"),
+        fraction_sum_half_up(F.col("parts"), F.col("reviewed_orders"), 2).alias("avg_review_score"),
     )

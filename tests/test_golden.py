@@ -269,3 +269,17 @@ def test_report_order(spark):
     trend = serving.in_report_order(serving.gmv_trend(daily), "gmv_trend").collect()
     dates = [r["stat_date"] for r in trend]
     assert dates == sorted(dates, reverse=True)
+
+
+def test_review_mean_with_a_dozen_coprime_review_counts(spark):
+    counts = [101, 103, 107, 109, 113, 127, 131, 137, 139, 149, 151, 157, 163, 167, 173, 179, 181, 191, 193, 197]
+    orders = _orders(spark, [(str(c), "c", "delivered", "2020-01-01 08:00:00", None, None) for c in counts])
+    items = spark.createDataFrame([(str(c), 1, "p", "s", None, D("1.00"), D("0.00")) for c in counts], schemas.ORDER_ITEMS)
+    products = spark.createDataFrame([("p", "toys", *[None] * 7)], schemas.PRODUCTS)
+    reviews = spark.createDataFrame(
+        [(f"{c}-{k}", str(c), 1 + k % 5, None, None, None, None) for c in counts for k in range(c)], schemas.REVIEWS)
+    ow = detail.order_wide(orders, _customers(spark, []), _payments(spark, []))
+    iw = detail.order_item_wide(items, products)
+    for by_month in (True, False):
+        row = summary.category_review_scores(ow, iw, reviews, by_month=by_month).collect()[0]
+        assert (row["reviewed_orders"], row["avg_review_score"]) == (20, 2.98)
