@@ -254,7 +254,7 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     lead = (k, int(left[0]))
                 found.append((k, [lead[1], *left[left != lead[1]].tolist()], False))
                 left_key, left = left_key[:1], np.array([lead[1]])
-        marks = np.add.reduceat(mix64(node), start) if len(start) else np.zeros(0, _U)
+        marks = np.add.reduceat(mix64(node[: end[-1]]), start) if len(start) else np.zeros(0, _U)
         for s, e, mark in zip(start, end, marks.tolist()):
             k = int(key[s])
             if e - s < 2 or (mark in said and (lead is None or lead[0] != k)):

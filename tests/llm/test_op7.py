@@ -163,3 +163,15 @@ def test_components(spark):
         if before == label:
             break
     assert got == {x: c for x, c in label.items() if any(x in e for e in edges if e[0] != e[1])}
+
+
+def test_batch_border_inside_a_bucket_loses_no_other():
+    import pyarrow as pa
+
+    def batch(*rows):
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], ["key", "node"])
+
+    # key 1 and the part of key 2 before the border have the members of key 3
+    batches = [batch((1, 10), (1, 20), (2, 30)), batch((2, 40), (3, 10), (3, 20), (3, 30))]
+    got = [r for b in parity_join._runs(iter(batches)) for r in b.to_pylist()]
+    assert [(r["bucket"], r["members"]) for r in got] == [(1, [10, 20]), (2, [30, 40]), (3, [10, 20, 30])]
