@@ -9,14 +9,16 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 
 from martlake.llm import (
-    chat_hmm, column_dedup, decontam, line_dedup, mixing, parity_join, repetition, secret_ledger, token_shortcut,
-    weak_toxicity,
+    chat_hmm, column_dedup, decontam, line_dedup, mixing, parity_join, repetition, secret_ledger, token_alignment,
+    token_shortcut, weak_toxicity,
 )
 from martlake.llm.oracle import ORACLE_SQL
 from martlake.llm.tables import documents, table
 
 #: Vocabulary file of the token counts.
 TOKENIZER = "byte_bpe_50k.json"
+#: Piece vocabulary aligned with it.
+PIECES = "piece_bpe_32k.model"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,11 +64,21 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(documents(spark, sf_dir))
 
 
+def alignment_vocabularies() -> token_alignment.Vocabularies:
+    with open(tokenizer_path(TOKENIZER), encoding="utf-8") as spec, open(tokenizer_path(PIECES), "rb") as model:
+        return token_alignment.vocabularies(spec.read(), model.read())
+
+
+def op12_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.aligned(documents(spark, sf_dir), alignment_vocabularies())
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_chat_format, op2_secret_scan, op3_toxicity, op4_token_counts, op5_source_mixing, op6_decontamination,
         op7_ngram_jaccard_join, op8_suffix_dedup, op9_quality_rules, op10_line_dedup,
+        op12_cross_tokenizer_alignment,
     )
 }
 
