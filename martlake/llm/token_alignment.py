@@ -48,13 +48,14 @@ from martlake.llm.tables import written
 from martlake.llm.token_shortcut import _byte_letters
 
 #: Characters of one segment of a text, and of all segments merged at a time.
-SEGMENT, BATCH = 1 << 20, 1 << 21
+SEGMENT, BATCH = 1 << 19, 1 << 20
 #: Words in a lane.
 LANE = 128
 #: Pairs (one per document and id pair) in a lump.
-LUMP_PAIRS = 1 << 22
-#: Tokens (both sides) of the words that a task remembers.
-REMEMBERED = 6_000_000
+LUMP_PAIRS = 1 << 20
+#: Tokens (both sides) of the words that a task remembers, and words encoded
+#: by one call of the libraries.
+REMEMBERED, ENCODED = 2_000_000, 1 << 14
 
 _GAP = re.compile(r"(?<=\S) (?=\S)")
 #: A space beside another blank, or at an end: the text needs the pattern.
@@ -187,7 +188,9 @@ class WordBook:
             self.forget()
         new = set().union(*segments) - self.number.keys()
         if new:
-            self.learn(list(new))
+            words = list(new)
+            for first in range(0, len(words), ENCODED):
+                self.learn(words[first : first + ENCODED])
         look = self.number.__getitem__
         return np.fromiter((n for s in segments for n in map(look, s)), np.int64, sum(map(len, segments)))
 
