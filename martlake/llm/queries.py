@@ -9,8 +9,8 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 
 from martlake.llm import (
-    chat_hmm, column_dedup, decontam, line_dedup, mixing, parity_join, repetition, secret_ledger, token_alignment,
-    token_shortcut, weak_toxicity,
+    chat_hmm, column_dedup, decontam, line_dedup, mixing, nn_descent, parity_join, repetition, secret_ledger, spectrum_slicing,
+    token_alignment, token_shortcut, weak_toxicity,
 )
 from martlake.llm.oracle import ORACLE_SQL
 from martlake.llm.tables import documents, table
@@ -64,6 +64,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(documents(spark, sf_dir))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spectrum_slicing.whitened(table(spark, sf_dir, "embeddings"))
+
+
 def alignment_vocabularies() -> token_alignment.Vocabularies:
     with open(tokenizer_path(TOKENIZER), encoding="utf-8") as spec, open(tokenizer_path(PIECES), "rb") as model:
         return token_alignment.vocabularies(spec.read(), model.read())
@@ -73,12 +77,16 @@ def op12_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFram
     return token_alignment.aligned(documents(spark, sf_dir), alignment_vocabularies())
 
 
+def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.nearest(table(spark, sf_dir, "embeddings"), "id % 20 = 0")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_chat_format, op2_secret_scan, op3_toxicity, op4_token_counts, op5_source_mixing, op6_decontamination,
         op7_ngram_jaccard_join, op8_suffix_dedup, op9_quality_rules, op10_line_dedup,
-        op12_cross_tokenizer_alignment,
+        op11_embedding_whitening, op12_cross_tokenizer_alignment, op13_nearest_neighbours,
     )
 }
 

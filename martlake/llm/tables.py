@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlake.session import new_scratch_dir, write_scratch_table
+from martlake.session import drop_scratch, new_scratch_dir, write_scratch_table
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,10 +22,23 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     return write_scratch_table(df, tag)
 
 
+def stored(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
+    """As :func:`written`, with the folder, for tables that are dropped again
+    as soon as the next one is written (see :func:`dropped`)."""
+    folder = new_scratch_dir(df.sparkSession, tag)
+    df.write.parquet(folder)
+    return df.sparkSession.read.parquet(folder), folder
+
+
+def dropped(spark: SparkSession, *folders: str) -> None:
+    for folder in folders:
+        drop_scratch(spark, folder)
+
+
 def row_key(id_column: str = "doc_id", text_column: str = "text"):
     """Identifies a row by id and content, so that repeated rows, or two texts
     under one id, never multiply in a join back to the documents."""
     return F.xxhash64(F.col(id_column), F.coalesce(F.col(text_column), F.lit("")))
 
 
-__all__ = ["documents", "new_scratch_dir", "row_key", "table", "written"]
+__all__ = ["documents", "dropped", "new_scratch_dir", "row_key", "stored", "table", "written"]
