@@ -33,7 +33,9 @@ An anchor with more than ``HOT`` distinct segments is not put in one task: its
 windows are grouped by hash over all tasks, with the same result.
 
 Defined cases: null is the empty text; texts shorter than ``LENGTH`` lose
-nothing; repeated rows are two documents; rows are told apart by id and text.
+nothing; repeated rows are two documents; rows are told apart by id and text.  Memory
+goes with the longest text; an empty table gives an empty result; other columns,
+whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -47,7 +49,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martlake.llm.tables import row_key, written
-from martlake.llm.textbuf import SpanHash, TextBuf, as_bytes, chunks, mix64
+from martlake.llm.textbuf import CHUNK_BYTES, SpanHash, TextBuf, as_bytes, chunks, gram_hash, mix64
 
 LENGTH, GRAM = 200, 32
 REACH = LENGTH - GRAM
@@ -78,20 +80,26 @@ def anchors(texts: list[bytes]) -> tuple[np.ndarray, ...]:
     total = len(t.buf)
     if total < LENGTH + 1:
         return tuple(np.zeros(0, np.int64) for _ in range(6))
-    at = np.arange(total - GRAM + 1)
-    gram = SpanHash(t.buf, 5)(at, at + GRAM)
-    # the place in the low bits finds the minimum's place, leftmost first
-    least = _least_places((gram & _U(0xFFFFFFFF00000000)) | at.astype(_U), REACH + 1)
-    begin = np.arange(len(least))
-    inside = t.doc_of(begin) == t.doc_of(begin + LENGTH - 1)
-    # a window that holds a closing newline belongs to no document
-    inside &= begin + LENGTH <= t.doc_end[t.doc_of(begin)]
-    place = np.unique((least[inside] & _U(0xFFFFFFFF)).astype(np.int64))
+    places, keys = [], []
+    for first in range(0, total - LENGTH + 1, CHUNK_BYTES):  # windows that begin in one block
+        gram = gram_hash(t.buf[first : first + CHUNK_BYTES + LENGTH - 1], GRAM, 5)
+        # the place in the low bits finds the minimum's place, leftmost first
+        at = np.arange(len(gram))
+        least = _least_places((gram & _U(0xFFFFFFFF00000000)) | at.astype(_U), REACH + 1)
+        begin = np.arange(first, first + len(least))
+        inside = t.doc_of(begin) == t.doc_of(begin + LENGTH - 1)
+        # a window that holds a closing newline belongs to no document
+        inside &= begin + LENGTH <= t.doc_end[t.doc_of(begin)]
+        found = np.unique((least[inside] & _U(0xFFFFFFFF)).astype(np.int64))
+        places.append(found + first)
+        keys.append(gram[found])
+    place, once = np.unique(np.concatenate(places), return_index=True)
+    key = np.concatenate(keys)[once]
     doc = t.doc_of(place)
     left = np.minimum(REACH, place - t.doc_start[doc])
     right = np.minimum(REACH, t.doc_end[doc] - place - GRAM)
     segment = SpanHash(t.buf, 6)(place - left, place + GRAM + right) ^ mix64((left * 1024 + right).astype(_U))
-    return doc, place - t.doc_start[doc], gram[place].view(np.int64), segment.view(np.int64), left, right
+    return doc, place - t.doc_start[doc], key.view(np.int64), segment.view(np.int64), left, right
 
 
 def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -8,7 +8,9 @@ summed.  Equal lines are found the same way.  No shuffle; a task holds one
 slice of about 1 MB of text (or one longer document).
 
 Null and empty texts have no words and no lines with a word: all counts 0,
-``base_failed`` true.
+``base_failed`` true.  Repeated rows and null ids each give a row; equal windows and
+lines count within one text only; an empty table gives an empty result; other columns,
+whatever their names, are not read.
 """
 
 from __future__ import annotations

@@ -1,8 +1,7 @@
 """Vectorised helpers over a run of texts joined into one byte buffer.
 
 A :class:`TextBuf` holds some documents as UTF-8 bytes, each followed by one
-newline, with word and line spans and polynomial hashes of any span, all as
-numpy arrays.  Words are ``[^\\x20\\x09-\\x0D]+``; UTF-8 never uses those bytes
+newline, with word and line spans and hashes of any span, all as numpy arrays.  Words are ``[^\\x20\\x09-\\x0D]+``; UTF-8 never uses those bytes
 inside a character, so byte spans and code point spans agree.
 """
 
@@ -13,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 #: Bytes of text worked on at a time inside a task; a longer single document
 #: is worked on whole, alone.
@@ -41,45 +41,52 @@ def _stream(seed: int, n: int) -> np.ndarray:
     return mix64(np.arange(1, n + 1, dtype=_U) * _U(0x9E3779B97F4A7C15) + _U(seed))
 
 
-class _Tables(dict):
-    """Kept within a process; sent to others empty."""
+def _limbs(buf: np.ndarray) -> np.ndarray:
+    """The eight bytes from every place on as one number, bytes beyond the end
+    as zeros; a view, nothing is multiplied in memory."""
+    padded = np.concatenate([buf, np.zeros(8, np.uint8)])
+    return np.ndarray((len(buf) + 1,), "<u8", padded, strides=(1,))
 
-    def __reduce__(self):
-        return _Tables, ()
 
-
-_TABLES = _Tables()
-
-
-def _powers(seed: int, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Byte values, powers and inverse powers of an odd base modulo 2**64."""
-    if (seed, size) in _TABLES:
-        return _TABLES[seed, size]
-    base = int(_stream(seed + 77, 1)[0]) | 1
-    inverse = pow(base, -1, 1 << 64)
-    up, down = np.full(size + 1, base, dtype=_U), np.full(size + 1, inverse, dtype=_U)
-    up[0] = down[0] = 1
-    _TABLES[seed, size] = _stream(seed, 256), np.multiply.accumulate(up), np.multiply.accumulate(down)
-    return _TABLES[seed, size]
-
-
-def _size_class(n: int) -> int:
-    return 1 << max(16, int(n).bit_length())
+#: Keeps the first k of eight bytes.
+_FIRST_BYTES = np.array([(1 << (8 * k)) - 1 for k in range(8)] + [(1 << 64) - 1], dtype=_U)
+#: Spans longer than this are hashed one by one.
+LONG_SPAN = 4096
 
 
 class SpanHash:
-    """Hashes of arbitrary spans of a buffer, from one prefix sum."""
+    """64-bit hashes of arbitrary spans of a buffer: eight bytes at a time are
+    xored into the value, which is scrambled after each step and begins with seed
+    and length.  No table and no prefix sum, so memory goes with the number of
+    spans, and (unlike polynomials modulo 2**64) no texts that collide for every
+    seed; hashes of different seeds are independent."""
 
     def __init__(self, buf: np.ndarray, seed: int):
-        values, up, self._down = _powers(seed, _size_class(len(buf)))
-        self._sum = np.zeros(len(buf) + 1, dtype=_U)
-        np.cumsum(values[buf] * up[: len(buf)], out=self._sum[1:])
-
-    def raw(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return (self._sum[end] - self._sum[start]) * self._down[start]
+        self.buf, self.seed, self.limbs = buf, seed, _limbs(buf)
 
     def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mix64(self.raw(start, end) + (end - start).astype(_U) * _U(0xD6E8FEB86659FD93))
+        size = end - start
+        out = mix64(size.astype(_U) * _U(0xD6E8FEB86659FD93) + _stream(self.seed, 1))
+        long = size > LONG_SPAN
+        which = np.flatnonzero((size > 0) & ~long)
+        at, left = start[which].astype(np.int64), size[which].astype(np.int64)
+        while len(which):
+            limb = self.limbs[at] & _FIRST_BYTES[np.minimum(left, 8)]
+            out[which] = mix64(out[which] ^ limb)
+            more = left > 8
+            which, at, left = which[more], at[more] + 8, left[more] - 8
+        for k in np.flatnonzero(long):
+            out[k] = xxhash.xxh3_64_intdigest(self.buf[start[k] : end[k]].tobytes(), self.seed)
+        return out
+
+
+def gram_hash(buf: np.ndarray, n: int, seed: int) -> np.ndarray:
+    """Hash of the n bytes (a multiple of 8) from each place on that has as many."""
+    total, limbs = max(0, len(buf) - n + 1), _limbs(buf)
+    out = np.broadcast_to(_stream(seed, 1), total)
+    for k in range(0, n, 8):
+        out = mix64(out ^ limbs[k : k + total])
+    return out
 
 
 class TextBuf:
@@ -113,8 +120,8 @@ class TextBuf:
     @functools.cached_property
     def points(self) -> np.ndarray:
         """Code points before each byte place."""
-        out = np.zeros(len(self.buf) + 1, dtype=np.int64)
-        np.cumsum((self.buf & 0xC0) != 0x80, out=out[1:])
+        out = np.zeros(len(self.buf) + 1, dtype=np.int32 if len(self.buf) < 1 << 31 else np.int64)
+        np.cumsum((self.buf & 0xC0) != 0x80, out=out[1:], dtype=out.dtype)
         return out
 
     def count(self, docs: np.ndarray, weights: np.ndarray | None = None) -> np.ndarray:

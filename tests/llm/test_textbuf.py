@@ -1,0 +1,86 @@
+"""Span hashes: sound for texts that defeat polynomials modulo 2**64, and memory
+that goes with the text, without lasting tables."""
+
+from __future__ import annotations
+
+import subprocess
+import sys
+
+import numpy as np
+import pytest
+
+from martlake.llm import column_dedup, line_dedup, parity_join, repetition
+from martlake.llm.textbuf import LONG_SPAN, SpanHash, TextBuf, gram_hash
+from tests.llm.helpers import by_id, make_docs
+
+
+def thue_morse(length: int) -> tuple[str, str]:
+    """A Thue-Morse string of two letters, and the one with the letters turned round."""
+    bits = [bin(i).count("1") % 2 for i in range(length)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+@pytest.mark.parametrize("length", [1024, 2048, 8192])
+def test_thue_morse_spans_differ(length):
+    a, b = (x.encode() for x in thue_morse(length))
+    t = TextBuf([a, b, a])
+    for seed in range(1, 9):
+        h = SpanHash(t.buf, seed)(t.doc_start, t.doc_end)
+        assert h[0] != h[1] and h[0] == h[2]
+
+
+def test_spans_equal_where_their_bytes_are(spark):
+    rng = np.random.default_rng(0)
+    buf = rng.integers(97, 99, 30_000).astype(np.uint8)
+    start = rng.integers(0, 20_000, 4000)
+    end = start + rng.choice([0, 1, 3, 7, 8, 9, 16, 17, LONG_SPAN, LONG_SPAN + 1], 4000)
+    got = {}
+    for s, e, h in zip(start, end, SpanHash(buf, 3)(start, end).tolist()):
+        got.setdefault(h, set()).add(buf[s:e].tobytes())
+    assert all(len(x) == 1 for x in got.values())
+    assert len(got) == len({buf[s:e].tobytes() for s, e in zip(start, end)})
+    grams = gram_hash(buf, 16, 5)
+    assert len(grams) == len(buf) - 15
+    assert len(np.unique(grams)) == len({buf[i : i + 16].tobytes() for i in range(len(grams))})
+
+
+def test_operators_tell_thue_morse_texts_apart(spark):
+    a, b = thue_morse(2048)
+    docs = make_docs(spark, [a, a, a, b, b, b])
+    assert all(r["n_dropped"] == 0 for r in by_id(line_dedup.line_report(docs)).values())
+    texts = make_docs(spark, [f"{a}\n{b}\nc", f"{a}\n{a}\nc"])
+    lines = by_id(repetition.repetition_measures(texts))
+    assert [lines[i]["n_dup_lines"] for i in (0, 1)] == [0, 1]
+    apart = make_docs(spark, [f"{a} {a} {a}", f"{b} {b} {b}", f"{a} {a} {a}"])
+    groups = by_id(parity_join.similarity_components(apart, parity_join.Join(n=3, num=90, den=100)))
+    assert [groups[i]["component_id"] for i in (0, 1, 2)] == [0, 1, 0]
+
+
+LONG = """
+import resource, sys
+import numpy as np, pyarrow as pa
+from martlake.llm import column_dedup, line_dedup, parity_join, repetition
+rng = np.random.default_rng(1)
+size = int(sys.argv[2])
+words = np.array([bytes(rng.integers(97, 123, int(n)).astype(np.uint8)) for n in rng.integers(1, 12, 5000)], dtype=object)
+text = b" ".join(words[rng.integers(0, len(words), size // 7)]).replace(b" a", b"\\n")[:size]
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+if sys.argv[1] == "lines":
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([2]), pa.array([text.decode()])], ["doc_id", "row", "text"])
+    sum(b.num_rows for b in line_dedup._line_keys(iter([batch])))
+elif sys.argv[1] == "measure":
+    repetition.measure([text])
+elif sys.argv[1] == "shingles":
+    parity_join.shingle_sets([text], 5)
+else:
+    column_dedup.anchors([text])
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+"""
+
+
+@pytest.mark.parametrize("what, most", [("lines", 20), ("measure", 45), ("shingles", 40), ("anchors", 30)])
+def test_memory_goes_with_the_longest_text(what, most):
+    """At most so many bytes a byte of one long text, besides what is fixed."""
+    size = 20_000_000
+    done = subprocess.run([sys.executable, "-c", LONG, what, str(size)], capture_output=True, text=True, check=True)
+    assert int(done.stdout) < 60 + most * size / 2**20
