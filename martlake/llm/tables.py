@@ -35,10 +35,22 @@ def dropped(spark: SparkSession, *folders: str) -> None:
         drop_scratch(spark, folder)
 
 
+def free_names(taken: list[str], *wanted: str) -> list[str]:
+    """Column names like the wanted ones that are not taken (Spark's names do not
+    tell upper from lower case)."""
+    used, out = {c.lower() for c in taken}, []
+    for name in wanted:
+        while name.lower() in used:
+            name += "_"
+        used.add(name.lower())
+        out.append(name)
+    return out
+
+
 def row_key(id_column: str = "doc_id", text_column: str = "text"):
     """Identifies a row by id and content, so that repeated rows, or two texts
     under one id, never multiply in a join back to the documents."""
     return F.xxhash64(F.col(id_column), F.coalesce(F.col(text_column), F.lit("")))
 
 
-__all__ = ["documents", "dropped", "new_scratch_dir", "row_key", "stored", "table", "written"]
+__all__ = ["documents", "dropped", "free_names", "new_scratch_dir", "row_key", "stored", "table", "written"]

@@ -1,28 +1,37 @@
 """Toxicity by weak supervision.
 
-*Voters.*  Each lexicon family, each pattern and each group of mined stems either
-fires on a text or not; a document's votes are one bit mask.  Stems are word
-beginnings that stand out in labelled toxic rows (``mine``), for insults that no
-list here has; they are dealt over ``MINED`` voters in order of frequency.
+*Voters.*  Each lexicon family, each pattern and each stratum of mined units either
+fires on a text or not; a document's votes are one bit mask.  Units are words and
+word beginnings that stand out in labelled toxic rows (``mine``), for insults that no
+list here has: all labelled rows count, and every unit that stands out gets a vote.
+Units vote by how strongly they stand out, so that a voter is a set of units of like
+reliability, and there are as many voters however many insults there are.
 
 *Label model.*  A hidden class (toxic or not) generates the votes.  Voters are
 grouped into cliques: pairs whose votes stay correlated, given the class, share
-one joint table; the rest are independent given the class.  The given labels
+one joint table; the rest are independent given the class.  A voter that does not fire
+abstains; that no voter of words fires is a vote of its own.  The given labels
 are one more noisy voter, present on some rows only.  Class rate and tables are
-estimated by EM from counts of vote masks (as many rows as masks occur, however
-large the corpus), first with independent voters, then with the correlated
-pairs found from the residual covariances.
+estimated by EM from counts of vote masks (at most 3 * 2**20 of them, by the number
+of voters; hundreds in practice), first with independent voters, then with the
+correlated pairs found from the residual covariances.
 
-*Classifier.*  A logistic regression over the votes and hashed distinct words is
-trained on the posterior labels, each row counted with both classes by its
-posterior.  It is fitted, and stems are mined, on at most ``SAMPLE_ROWS`` labelled
-rows, those with the smallest hash of their id.  A score reads nothing but the text.
+*Classifier.*  A logistic regression over the label model's log-odds of the votes and
+hashed distinct words is trained on the posterior labels, each row counted with both
+classes by its posterior.  It is fitted on at most ``SAMPLE_ROWS`` labelled rows, those
+with the smallest hash of their id.  A score reads nothing but the text.
+
+Labelled texts are read once to find the units, then every text once: votes and word
+places are written, and training and scoring read those.
 
 Only rows that are not held out (see ``held_out``) teach anything.
 
-Defined cases: null and empty texts have no votes and no words and get the
-score of the intercept; without any labelled row to learn from the score is the
-label model's posterior of the votes.
+Defined cases: null and empty texts have no votes and no words and get the score of
+a text without any; without any labelled row to learn from the score is the label
+model's posterior of the votes.  Repeated rows are scored alike; a document with
+several labels counts as toxic if one says so; a null id teaches without a label.
+Long texts are read whole.  An empty table gives an empty result.  Columns of any
+other names pass through ``drop_toxic``.
 """
 
 from __future__ import annotations
@@ -34,14 +43,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, DoubleType, LongType, StructField, StructType
 
-from martlake.llm.tables import written
+from martlake.llm.tables import free_names, written
 
 #: Word families; a voter fires if a text has one of its words.
 LEXICON: dict[str, str] = {
@@ -57,27 +64,45 @@ LEXICON: dict[str, str] = {
     "disgusting": "disgusting repulsive ekelhaft dégoûtant asqueroso",
     "hate": "hate hateful despise",
 }
-#: Patterns over the whole text.
+#: Patterns over the whole text, and what a text must hold for them to match (a
+#: quick test; ``words`` are its lower-cased words).
 PATTERNS: dict[str, str] = {
     "shouting": r"(?:\b[A-ZÄÖÜÉÈÊÇÑ]{3,}\b\W+){4}",
     "exclaiming": r"!{2,}",
     "masked_word": r"\b\w+[*@#$%]{2,}\w*",
     "you_are": r"(?i)\b(?:you|you're|du bist|tu es|eres)\s+(?:are\s+)?(?:an?\s+|ein\s+|un\s+)?\w+",
-    "stretched": r"(\w)\1{4,}",
+    "stretched": r"([^\W\d_])\1{4,}",  # in a lower-cased word
+}
+_CAPITALS = re.compile("[A-ZÄÖÜÉÈÊÇÑ]{3}").search
+_MASKS = re.compile("[*@#$%]{2}").search
+_ADDRESS = {"you", "du", "tu", "eres"}
+_QUICK = {
+    "shouting": lambda text, words: _CAPITALS(text),
+    "exclaiming": lambda text, words: "!!" in text,
+    "masked_word": lambda text, words: _MASKS(text),
+    "you_are": lambda text, words: not _ADDRESS.isdisjoint(words),
 }
-#: Voters that the mined stems are dealt over, and stems per voter at most.
-MINED, STEMS_EACH = 12, 4
-STEM_LENGTHS = (4, 5, 6, 7, 8)
-#: A stem stands out if its share of toxic rows is this many times its share
-#: of the others, and at least ``STEM_SHARE`` of them (``STEM_ROWS`` rows).
-STEM_RATIO, STEM_SHARE, STEM_ROWS = 15.0, 0.01, 3
-VOTERS = [*LEXICON, *PATTERNS, *(f"stems_{i}" for i in range(MINED))]
-
-DIMENSIONS = 1 << 15
+#: Lengths of word beginnings, and the least evidence of each stratum of units:
+#: the log ratio of their shares of toxic and other rows, less one standard error.
+STEM_LENGTHS = (3, 4, 5, 6, 7)
+STRATA = (2.5, 3.5, 4.5, 6.0)
+#: A unit occurs in this share of the toxic rows and in so many rows at least.  (With
+#: the share, at most 1 / UNIT_SHARE times the mean number of units in a toxic row.)
+UNIT_SHARE, UNIT_ROWS = 0.002, 4
+VOTERS = [*LEXICON, *PATTERNS, *(f"stratum_{i}" for i in range(len(STRATA)))]
+
+#: The voters that read words.
+EVIDENCE = sum(1 << j for j, name in enumerate(VOTERS) if name not in PATTERNS)
+_PLACE_BITS = 15
+DIMENSIONS = 1 << _PLACE_BITS
+#: Words that a task remembers.
+WORDS_KEPT = 200_000
 SAMPLE_ROWS = 20_000
 #: A pair of voters whose residual correlation, given the class, is larger
 #: than this shares a joint table.
 CORRELATED = 0.1
+#: Log-odds are cut at so much; labels are broadcast up to so many rows.
+ODDS, BROADCAST_LABELS = 12.0, 1_000_000
 #: Weight of the squared coefficients in the classifier's loss.
 PENALTY = 1e-5
 _WORD = r"[^\W\d_]+"
@@ -92,124 +117,168 @@ def held_out(id_column: str = "doc_id") -> Column:
     return F.coalesce(fold(id_column) == 0, F.lit(False))
 
 
-class Reader:
-    """Votes and word features of texts."""
+class _Words(dict):
+    """Votes and hashed place of a word, packed in one number, by the word."""
 
-    def __init__(self, stems: tuple[str, ...] = ()):
-        first = len(LEXICON) + len(PATTERNS)
-        self.stems = {s: 1 << (first + i % MINED) for i, s in enumerate(stems)}
-        self.short = {s[: STEM_LENGTHS[0]] for s in stems}
-        self.lengths = sorted({len(s) for s in stems})
-        self.words = re.compile(_WORD).findall
+    def __init__(self, units: dict[str, int]):
         self.family = {w: 1 << i for i, ws in enumerate(LEXICON.values()) for w in ws.split()}
-        self.patterns = [(re.compile(p).search, 1 << (len(LEXICON) + i)) for i, p in enumerate(PATTERNS.values())]
-        self.places: dict[str, int] = {}
-
-    def read(self, text: str | None) -> tuple[int, set[str]]:
-        text = text or ""
-        words = set(self.words(text.lower()))
-        votes = 0
-        for w in words & self.family.keys():
-            votes |= self.family[w]
-        for search, bit in self.patterns:
-            if search(text):
+        first = len(LEXICON) + len(PATTERNS)
+        self.units = {u: 1 << (first + k) for u, k in units.items()}
+        self.lengths = sorted({len(u) for u in units if not u.startswith("=")})
+        self.stretched, self.stretch_bit = re.compile(PATTERNS["stretched"]).search, 1 << (first - 1)
+
+    def __missing__(self, w: str) -> int:
+        votes = self.family.get(w, 0) | self.units.get("=" + w, 0)
+        for n in self.lengths:
+            votes |= self.units.get(w[:n], 0) if len(w) >= n else 0
+        if self.stretched(w):
+            votes |= self.stretch_bit
+        place = zlib.crc32(w.encode("utf-8", "surrogatepass")) % DIMENSIONS
+        self[w] = votes * DIMENSIONS + place
+        return self[w]
+
+
+class Reader:
+    """Votes and word places of texts.  ``units`` maps each mined unit, a word
+    (written ``=word``) or a beginning, to its stratum."""
+
+    def __init__(self, units: dict[str, int] | None = None):
+        self.find = re.compile(_WORD).findall
+        self.known = _Words(units or {})
+        self.patterns = [
+            (_QUICK[name], re.compile(p).search, 1 << (len(LEXICON) + i))
+            for i, (name, p) in enumerate(PATTERNS.items()) if name in _QUICK
+        ]
+
+    def read(self, text: str | None) -> tuple[int, np.ndarray]:
+        """The vote mask, and the distinct hashed places of the words."""
+        if not text:
+            return 0, np.zeros(0, np.uint16)
+        if len(self.known) > WORDS_KEPT:
+            self.known.clear()
+        words = set(self.find(text.lower()))
+        found = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        votes = int(np.bitwise_or.reduce(found >> _PLACE_BITS)) if len(found) else 0
+        for quick, search, bit in self.patterns:
+            if quick(text, words) and search(text):
                 votes |= bit
-        if self.stems:
-            size = STEM_LENGTHS[0]
-            for w in [w for w in words if w[:size] in self.short]:
-                for n in self.lengths:
-                    votes |= self.stems.get(w[:n], 0)
-        return votes, words
-
-    def features(self, words: set[str]) -> np.ndarray:
-        """Hashed places of the words, each once."""
-        if len(self.places) > 400_000:
-            self.places.clear()
-        places = self.places
-        for w in words:
-            if w not in places:
-                places[w] = zlib.crc32(w.encode("utf-8", "surrogatepass")) % DIMENSIONS
-        return np.unique(np.fromiter(map(places.__getitem__, words), np.int64, len(words)))
-
-
-def mine(rows: DataFrame) -> tuple[str, ...]:
-    """Word beginnings that stand out in the toxic ones of some labelled rows
-    (text, toxic), most frequent first; none that begins with another."""
+        return votes, np.unique(found & (DIMENSIONS - 1)).astype(np.uint16)
+
+
+def unit_counts(rows: DataFrame) -> DataFrame:
+    """(unit, clean, toxic, forms): how many labelled rows (text, toxic) of each
+    class hold each word (``=word``) or beginning, and of how many words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find, listed = re.compile(_WORD).findall, {w for ws in LEXICON.values() for w in ws.split()}
         for batch in batches:
-            seen: dict[str, list[int]] = {}
-            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = set(find((text or "").lower())) - listed
-                for s in {w[:n] for w in words for n in STEM_LENGTHS if len(w) >= n}:
-                    seen.setdefault(s, [0, 0])[toxic] += 1
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(seen), pa.string()), *(pa.array([c[i] for c in seen.values()], pa.int64()) for i in (0, 1))],
-                ["stem", "clean", "toxic"],
-            )
+            seen: tuple[dict[str, int], dict[str, int]] = ({}, {})
+            for text, toxic in zip(batch.column(0), batch.column(1)):
+                words = set(find((text.as_py() or "").lower())) - listed
+                units = {w[:n] for n in STEM_LENGTHS for w in words if len(w) >= n}
+                units.update(["=" + w for w in words])
+                counts = seen[toxic.as_py()]
+                for u in units:
+                    counts[u] = counts.get(u, 0) + 1
+            for toxic, counts in enumerate(seen):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64()),
+                     pa.array(np.full(len(counts), toxic, np.int32))],
+                    ["unit", "n", "toxic"],
+                )
+
+    counted = rows.mapInArrow(run, "unit string, n long, toxic int").groupBy("unit")
+    return counted.agg(
+        F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("clean"),
+        F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("toxic"),
+    )
+
 
-    size = rows.groupBy("toxic").count().collect()
-    n = {r["toxic"]: r["count"] for r in size}
+def mine(rows: DataFrame) -> dict[str, int]:
+    """The units that stand out in the toxic ones of some labelled rows (text,
+    toxic), with their strata.  A unit is left out where a beginning of it has at
+    least its stratum."""
+    n = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     n_toxic, n_clean = n.get(1, 0), n.get(0, 0)
-    least = max(STEM_ROWS, STEM_SHARE * n_toxic)
-    counted = rows.mapInArrow(run, "stem string, clean long, toxic long").groupBy("stem").agg(
-        F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")
+    t, c = F.col("toxic") + 0.5, F.col("clean") + 0.5
+    evidence = F.log(t / (n_toxic + 1)) - F.log(c / (n_clean + 1)) - F.sqrt(1 / t + 1 / c)
+    standing = (
+        unit_counts(rows).filter(F.col("toxic") >= max(UNIT_ROWS, UNIT_SHARE * n_toxic))
+        .withColumn("evidence", evidence).filter(F.col("evidence") >= STRATA[0]).select("unit", "evidence").collect()
     )
-    standing = counted.filter(
-        (F.col("toxic") >= least) & (F.col("toxic") * (n_clean + 1) >= STEM_RATIO * (F.col("clean") + 0.5) * n_toxic)
-    )
-    # the most frequent ones; a longer stem is as frequent as its beginning at most
-    top = standing.orderBy(F.desc("toxic"), F.length("stem"), "stem").limit(50 * MINED * STEMS_EACH).collect()
-    out: list[str] = []
-    for r in top:
-        if len(out) < MINED * STEMS_EACH and not any(r["stem"].startswith(s) or s.startswith(r["stem"]) for s in out):
-            out.append(r["stem"])
-    return tuple(out)
+    out: dict[str, int] = {}
+    for unit, found in sorted(standing, key=lambda r: (len(r[0].lstrip("=")), r[0])):
+        stratum = sum(found >= e for e in STRATA) - 1
+        word = unit.lstrip("=")
+        if not any(out.get(word[:k], -1) >= stratum for k in STEM_LENGTHS if k <= len(word)):
+            out[unit] = stratum
+    return out
 
 
-def votes_of(docs: DataFrame, stems: tuple[str, ...] = ()) -> DataFrame:
-    """(doc_id, votes) of every document."""
+def votes_of(docs: DataFrame, units: dict[str, int], keep: list[str], names: tuple[str, str] = ("votes", "places")) -> DataFrame:
+    """The columns ``keep`` of the rows and two more: the vote mask, and the word
+    places (16-bit numbers in a binary)."""
+    text_at, kept = docs.columns.index("text"), [docs.columns.index(c) for c in keep]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader(stems)
+        reader = Reader(units)
         for batch in batches:
-            votes = [reader.read(t.as_py())[0] for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(votes, pa.int64())], ["doc_id", "votes"])
+            votes, places = np.zeros(batch.num_rows, np.int64), []
+            for i, text in enumerate(batch.column(text_at)):
+                votes[i], found = reader.read(text.as_py())
+                places.append(found.tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(i) for i in kept), pa.array(votes), pa.array(places, pa.binary())], [*keep, *names]
+            )
 
-    rows = docs.select("doc_id", "text")
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, votes long")
+    more = [StructField(names[0], LongType()), StructField(names[1], BinaryType())]
+    return docs.mapInArrow(run, StructType([*(docs.schema.fields[i] for i in kept), *more]))
 
 
 class LabelModel:
-    """P(class, votes, label) with disjoint cliques of one or two voters."""
+    """P(class, votes, label) with disjoint cliques of one or two voters.
+
+    With ``evidence`` (a mask of voters) a voter that does not fire abstains, which
+    tells nothing, since a text has the words of one language only; that none of the
+    voters in the mask fires is then one more vote."""
 
-    def __init__(self, n_voters: int):
-        self.n = n_voters
+    def __init__(self, n_voters: int, evidence: int | None = None):
+        self.evidence = evidence
+        self.n = n_voters + (evidence is not None)
         self.cliques: list[tuple[int, ...]] = [(j,) for j in range(n_voters)]
         self.rate = 0.1
         # voters that read words are first taken to be reliable, patterns not
         patterns = range(len(LEXICON), len(LEXICON) + len(PATTERNS))
         self.tables = [np.array([[0.9, 0.1], [0.85, 0.15]] if j in patterns else [[0.98, 0.02], [0.7, 0.3]])
                        for j in range(n_voters)]
+        if evidence is not None:
+            self.cliques.append((n_voters,))
+            self.tables.append(np.array([[0.05, 0.95], [0.7, 0.3]]))
         self.label = np.array([[0.95, 0.05], [0.1, 0.9]])
 
+    def _bits(self, masks: np.ndarray) -> np.ndarray:
+        if self.evidence is None:
+            return (masks[:, None] >> np.arange(self.n)) & 1
+        return np.column_stack([(masks[:, None] >> np.arange(self.n - 1)) & 1, (masks & self.evidence) == 0])
+
     def _state(self, bits: np.ndarray, clique: tuple[int, ...]) -> np.ndarray:
         return sum(bits[:, j] << i for i, j in enumerate(clique))
 
     def posterior(self, masks: np.ndarray, labels: np.ndarray) -> np.ndarray:
         """P(toxic | votes, label); label -1 is unknown."""
-        bits = (masks[:, None] >> np.arange(self.n)) & 1
+        bits = self._bits(masks)
         log = np.log(np.array([1 - self.rate, self.rate]))[None, :].repeat(len(masks), 0)
         for clique, table in zip(self.cliques, self.tables):
-            log += np.log(table[:, self._state(bits, clique)]).T
+            state = self._state(bits, clique)
+            told = np.log(table[:, state]).T
+            log += told if self.evidence is None else np.where((state > 0)[:, None], told, 0)
         known = labels >= 0
         log[known] += np.log(self.label[:, labels[known]]).T
         p = np.exp(log - log.max(1, keepdims=True))
         return p[:, 1] / p.sum(1)
 
     def _fit(self, masks, labels, counts, rounds):
-        bits = (masks[:, None] >> np.arange(self.n)) & 1
+        bits = self._bits(masks)
         for _ in range(rounds):
             p = self.posterior(masks, labels)
             weight = np.stack([counts * (1 - p), counts * p])
@@ -225,7 +294,7 @@ class LabelModel:
 
     def correlations(self, masks, labels, counts) -> np.ndarray:
         """Correlation of each pair of voters within the classes."""
-        bits = ((masks[:, None] >> np.arange(self.n)) & 1).astype(float)
+        bits = self._bits(masks).astype(float)
         p = self.posterior(masks, labels)
         cov, var = np.zeros((self.n, self.n)), np.zeros(self.n)
         for w in (counts * (1 - p), counts * p):
@@ -241,6 +310,8 @@ class LabelModel:
             return self
         self._fit(masks, labels, counts, rounds)
         found = np.abs(np.triu(self.correlations(masks, labels, counts), 1))
+        if self.evidence is not None:
+            found[:, -1] = 0  # the last vote is made of the others
         free, pairs = set(range(self.n)), []
         for at in np.argsort(-found, axis=None, kind="stable"):
             a, b = divmod(int(at), self.n)
@@ -263,101 +334,112 @@ class LabelModel:
 
 @dataclass
 class Scorer:
-    """Scores texts; sent to executors (its size depends on ``DIMENSIONS`` only)."""
+    """Scores votes and word places; its size depends on ``DIMENSIONS`` only."""
 
     labels: LabelModel
-    stems: tuple[str, ...] = ()
     intercept: float = 0.0
-    weights: np.ndarray | None = None
-
-    def score(self, reader: Reader, text: str | None) -> float:
-        votes, words = reader.read(text)
-        if self.weights is None:
-            return float(self.labels.posterior(np.array([votes]), np.array([-1]))[0])
-        z = self.intercept
-        for j in range(len(VOTERS)):
-            if votes >> j & 1:
-                z += self.weights[DIMENSIONS + j]
-        if words:
-            at = reader.features(words)
-            z += self.weights[at].sum() / math.sqrt(len(at))
-        return 1 / (1 + math.exp(-max(-500.0, min(500.0, z))))
-
-
-def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Scorer:
-    """Learns from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic)."""
+    weights: np.ndarray | None = None  # of the places, then of the log-odds
+
+    def log_odds(self, votes: np.ndarray) -> np.ndarray:
+        """Log-odds of toxic by the votes alone, between -``ODDS`` and ``ODDS``."""
+        masks, back = np.unique(votes, return_inverse=True)
+        p = self.labels.posterior(masks, np.full(len(masks), -1)) if len(masks) else np.zeros(0)
+        e = math.exp(-ODDS)
+        return np.clip(np.log((p + e) / (1 - p + e)), -ODDS, ODDS)[back]
+
+    def scores(self, votes: np.ndarray, places: list[bytes]) -> np.ndarray:
+        z = self.log_odds(votes)
+        if self.weights is not None:
+            size = np.fromiter(map(len, places), np.int64, len(places)) // 2
+            at = np.frombuffer(b"".join(places), np.uint16)
+            ends = np.concatenate(([0], np.cumsum(self.weights[:DIMENSIONS][at])))
+            stop = np.cumsum(size)
+            words = (ends[stop] - ends[stop - size]) / np.sqrt(np.maximum(size, 1))
+            z = self.intercept + self.weights[DIMENSIONS] * z + words
+        return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
+
+
+def learnt_labels(labels: DataFrame) -> DataFrame:
+    """(doc_id, toxic) of the labelled rows that are not held out, each id once."""
     given = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out())
-    given = given.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    sample = given.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
-    # at most sample_rows ids
-    texts = written(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", "toxic"), "sample")
-    stems = mine(texts.distinct())
-    votes = written(votes_of(docs.filter(~held_out()), stems), "votes")
+    return given.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+
+
+def fit(read: DataFrame, given: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Scorer:
+    """Learns from ``read`` (doc_id, votes, places) and the labels ``given``."""
+    # needed on the driver only (and for a sample): tasks that read texts stay small
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.linalg import SparseVector, VectorUDT
+
     counted = (
-        votes.join(given, "doc_id", "left").groupBy("votes", F.coalesce("toxic", F.lit(-1)).alias("toxic"))
-        .agg(F.count(F.lit(1)).alias("n")).collect()  # a row per vote mask and label that occur
+        read.filter(~held_out()).select("doc_id", "votes").join(given, "doc_id", "left")
+        .groupBy("votes", F.coalesce("toxic", F.lit(-1)).alias("toxic")).agg(F.count(F.lit(1)).alias("n"))
+        .collect()  # a row per vote mask and label that occur
     )
     counted.sort()
     masks, known, counts = (np.array([r[i] for r in counted], dtype=np.int64) for i in range(3))
-    model = LabelModel(len(VOTERS)).fit(masks, known, counts.astype(float))
+    model = LabelModel(len(VOTERS), EVIDENCE).fit(masks, known, counts.astype(float))
+    scorer = Scorer(model)
 
-    table = {(int(m), int(k)): float(p) for m, k, p in zip(masks, known, model.posterior(masks, known))} if len(masks) else {}
+    @F.udf(VectorUDT())
+    def vector(places: bytes, odds: float) -> SparseVector:
+        at = np.frombuffer(places, np.uint16)
+        values = np.full(len(at) + 1, 1 / math.sqrt(max(1, len(at))))
+        values[-1] = odds
+        return SparseVector(DIMENSIONS + 1, np.append(at.astype(np.int32), DIMENSIONS), values)
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader(stems)
+    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                mask, words = reader.read(text)
-                out.append((table.get((mask, toxic), 0.5), mask, reader.features(words)))
-            p, m, f = zip(*out) if out else ((), (), ())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(p, pa.float64()), pa.array(m, pa.int64()), pa.array(f, pa.list_(pa.int64()))],
-                ["p", "votes", "places"],
-            )
+            votes, toxic = (batch.column(i).to_numpy() for i in (0, 2))
+            p = pa.array(model.posterior(votes, toxic) if len(votes) else votes.astype(float))
+            yield pa.RecordBatch.from_arrays([p, batch.column(1), pa.array(scorer.log_odds(votes))], ["p", "places", "odds"])
 
-    drawn = written(texts.mapInArrow(rows, "p double, votes long, places array<long>"), "training-rows")
-    if drawn.isEmpty():
-        return Scorer(model, stems)
-
-    @F.udf(VectorUDT())
-    def vector(mask, places):
-        fired = [DIMENSIONS + j for j in range(len(VOTERS)) if mask >> j & 1]
-        size = 1 / math.sqrt(len(places)) if places else 0.0
-        return SparseVector(DIMENSIONS + len(VOTERS), [*places, *fired], [*([size] * len(places)), *([1.0] * len(fired))])
-
-    x = drawn.select(vector("votes", "places").alias("features"), "p")
+    sample = given.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
+    # at most sample_rows ids
+    chosen = read.join(F.broadcast(sample), "doc_id").select("votes", "places", F.col("toxic").cast("long"))
+    drawn = chosen.mapInArrow(judged, "p double, places binary, odds double")
+    x = written(drawn.select(vector("places", "odds").alias("features"), "p"), "training-rows")
+    if x.isEmpty():
+        return scorer
     both = x.select("features", F.lit(1.0).alias("label"), F.col("p").alias("weight")).union(
         x.select("features", F.lit(0.0).alias("label"), (1 - F.col("p")).alias("weight"))
     )
-    both = written(both.filter("weight > 0"), "training-classes")
     trained = LogisticRegression(
         weightCol="weight", regParam=PENALTY, maxIter=100, standardization=False, family="binomial"
-    ).fit(both)
-    return Scorer(model, stems, float(trained.intercept), np.array(trained.coefficients.toArray()))
+    ).fit(both.filter("weight > 0"))
+    scorer.intercept, scorer.weights = float(trained.intercept), np.array(trained.coefficients.toArray())
+    return scorer
+
+
+def scored(docs: DataFrame, labels: DataFrame, keep: list[str], name: str = "score") -> DataFrame:
+    """The columns ``keep`` (``doc_id`` among them) of the rows, and their score."""
+    given = learnt_labels(labels)
+    if given.count() <= BROADCAST_LABELS:  # else both sides are shuffled
+        given = F.broadcast(given)
+    texts = docs.select("doc_id", "text").join(given, "doc_id").select("text", "toxic")
+    votes, places = free_names([*keep, name], "votes", "places")
+    read = written(votes_of(docs, mine(texts), keep, (votes, places)), "word-places")
+    short = read.select("doc_id", F.col(votes).alias("votes"), F.col(places).alias("places"))
+    scorer = fit(short, learnt_labels(labels))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            score = scorer.scores(batch.column(votes).to_numpy(), batch.column(places).to_pylist())
+            rest = [batch.column(c) for c in keep]
+            yield pa.RecordBatch.from_arrays([*rest, pa.array(score)], [*keep, name])
 
-def score_column(scorer: Scorer):
-    """Score of a text column, as a function; the scorer travels with it."""
-
-    @F.pandas_udf("double")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        reader = Reader(scorer.stems)
-        for texts in batches:
-            yield pd.Series([scorer.score(reader, t) for t in texts], dtype=float)
-
-    return score
+    return read.mapInArrow(run, StructType([*(read.schema[c] for c in keep), StructField(name, DoubleType())]))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Per document: doc_id, held_out, score, predicted."""
-    score = score_column(fit(docs, labels))
-    return docs.select("doc_id", held_out().alias("held_out"), score("text").alias("score")).withColumn(
+    out = scored(docs.select("doc_id", "text"), labels, ["doc_id"])
+    return out.select("doc_id", held_out().alias("held_out"), "score").withColumn(
         "predicted", (F.col("score") >= 0.5).cast("int")
     )
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are not predicted toxic; columns as they were."""
-    score = score_column(fit(docs, labels))
-    return docs.filter(score("text") < 0.5)
+    (name,) = free_names(docs.columns, "score")
+    return scored(docs, labels, docs.columns, name).filter(F.col(name) < 0.5).drop(name)

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from martlake.llm.queries import QUERIES
-from martlake.llm.weak_toxicity import LEXICON, VOTERS, LabelModel, Reader, drop_toxic, toxicity
+from martlake.llm.weak_toxicity import LEXICON, VOTERS, LabelModel, Reader, drop_toxic, held_out, mine, toxicity
 from tests.conftest import SF01
 from tests.llm.helpers import ODD_TEXTS, by_id, make_docs, table_rows
 
@@ -85,3 +85,41 @@ def test_label_model_recovers_accuracies_and_correlation():
             assert abs(table[1, 1] - np.linspace(0.2, 0.6, k)[clique[0]]) < 0.05
     p = model.posterior(masks, np.full(n, -1))
     assert np.mean((p > 0.5) == y) > 0.9
+
+
+def test_rare_insults_that_no_list_has(spark):
+    """Insults with many forms, each in under 0.1 % of all rows, and one or two in
+    a text: found in held-out rows; clean rows are left alone."""
+    rng = np.random.default_rng(8)
+    syllables = ["ba", "de", "ki", "lo", "mu", "ne", "ra", "so", "ti", "vu", "zen", "por", "gal", "min"]
+    word = lambda: "".join(rng.choice(syllables, rng.integers(1, 4)))
+    roots = ["xanthu", "qorbel", "wyvra", "jiskol"]
+    texts, toxic = [], []
+    for i in range(12_000):
+        words = [word() for _ in range(int(rng.integers(20, 60)))]
+        bad = rng.random() < 0.03
+        for _ in range(int(rng.integers(1, 3)) if bad else 0):
+            words.insert(int(rng.integers(0, len(words))), str(rng.choice(roots)) + str(rng.choice(syllables)))
+        texts.append(" ".join(words))
+        toxic.append(int(bad))
+    docs = make_docs(spark, texts).repartition(4)
+    said = [(i, int(t) ^ int(rng.random() < 0.02)) for i, t in enumerate(toxic) if i % 10]
+    labels = spark.createDataFrame(said, "doc_id long, toxic int")
+    got = by_id(toxicity(docs, labels))
+    test = [i for i in range(len(texts)) if got[i]["held_out"]]
+    caught = [got[i]["predicted"] for i in test if toxic[i]]
+    wrong = [got[i]["predicted"] for i in test if not toxic[i]]
+    assert np.mean(caught) > 0.95 and np.mean(wrong) < 0.005
+    units = mine(docs.join(labels, "doc_id").filter(~held_out()).select("text", "toxic"))
+    assert all(any(r.startswith(u.lstrip("=")) or u.lstrip("=").startswith(r) for u in units) for r in roots)
+
+
+def test_extra_columns_pass(spark):
+    docs = make_docs(spark, ["a fine text", "you are an idiot and a moron", None]).selectExpr(
+        "*", "1 AS votes", "2 AS places", "3 AS score", "4 AS toxic", "5 AS Votes_"
+    )
+    labels = spark.createDataFrame([(0, 0), (1, 1)], "doc_id long, toxic int").selectExpr("*", "7 AS text", "8 AS votes")
+    kept = drop_toxic(docs, labels)
+    assert kept.columns == docs.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == [0, 2]
+    assert toxicity(docs, labels).columns == ["doc_id", "held_out", "score", "predicted"]
