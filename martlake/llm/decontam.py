@@ -18,9 +18,11 @@ least ``LITERALS`` plain words are joined by hash with those of the benchmark in
 the same reading.
 
 A text and an item match along alignments (distance of the two windows).  In a
-re-parameterised copy a value of the item stands for one value of the text
-throughout; an alignment in which some value of the item meets two values in a
-reading is no copy there, and its windows do not count.  A text is contaminated
+re-parameterised copy a value of the item in one role (the word that follows it)
+stands for one value of the text throughout, while equal values in other roles ("3
+coaches and 3 drivers") may differ; an alignment in which some value in one role meets
+two values in a reading is no copy there, and its windows do not count.  Numbers
+written as words are plain words.  A text is contaminated
 by an item when the counted windows cover ``COVER`` percent of the item's, or
 ``RUN`` of them, in one reading or in all together.  Counts are those of the
 first reading that matches, in the order above, all together last; then slots
@@ -29,17 +31,20 @@ are counted in each of them.
 An item without a window, since it has fewer than ``WINDOW`` words or too many
 slots in all of them, has its whole text as its only window, without slots: it is
 found where all its words stand in a row, apart from case and punctuation, with
-the same numbers and names.
+the same numbers and names.  One of under ``SHORT`` words has to be the whole document:
+such words stand in many a clean text.
 
 Built-in functions only.  All windows of all texts are searched: by the longest
 plain word of each benchmark window, then by the window's hash.  The benchmark
 windows are counted first: up to ``BROADCAST_WINDOWS`` of them (a bounded table
 of three small columns) are sent to all tasks, and the texts' words are never
-shuffled; beyond that it is a shuffled join with the same result.
+shuffled; beyond that single words are shuffled, and the places found are joined back
+to their texts once, in proportion to the texts, with the same result.
 
-Defined cases: texts and items that are null or have no word match nothing; an
-item of one word matches every text with that word; words of signs only, as + and
-*, are no words; repeated rows and equal items give equal results; rows are told apart by id and text.
+Defined cases: texts and items that are null or have no word match nothing; words of signs only, as + and
+*, are no words; repeated rows and equal items give equal results; rows are told apart
+by id and text; texts of any length are searched whole; empty tables match nothing; other
+columns pass through :func:`drop_contaminated` whatever their names.
 """
 
 from __future__ import annotations
@@ -47,11 +52,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martlake.llm.tables import row_key, written
+from martlake.llm.tables import free_names, row_key, written
 
 WINDOW, LITERALS = 8, 4
 COVER, RUN = 50, 13
 BROADCAST_WINDOWS = 500_000
+#: Items of fewer words, matched as a whole, have to be the whole document.
+SHORT = 3
 
 #: Unit words, as they follow a number.
 UNITS = (
@@ -147,7 +154,7 @@ def whole_items(rows: DataFrame) -> DataFrame:
     return rows.withColumn("a", longest).select(
         "item_id", reading.alias("reading"), at.alias("at"), F.size("v").alias("n"),
         _window(reading, at, F.size("v")).alias("window"), F.col("a.word").alias("word"),
-        (-F.col("a.k")).alias("offset"), F.array().cast("array<struct<k:int,v:string>>").alias("slots"),
+        (-F.col("a.k")).alias("offset"), F.array().cast("array<struct<k:int,v:string,r:string>>").alias("slots"),
     )
 
 
@@ -162,7 +169,10 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     rows = rows.withColumn("t", _read(F.col("reading")))
     places = [F.col("t")[F.col("at") + k] for k in range(WINDOW)]
     slots = F.array_compact(F.array(*(
-        F.when(p.isin(_NUM, _UNIT, _NAME), F.struct(F.lit(k).alias("k"), F.col("raw")[F.col("at") + k].alias("v")))
+        F.when(p.isin(_NUM, _UNIT, _NAME), F.struct(
+            F.lit(k).alias("k"), F.col("raw")[F.col("at") + k].alias("v"),
+            F.coalesce(F.get("v", F.col("at") + k + 1), F.lit("")).alias("r"),
+        ))
         for k, p in enumerate(places)
     )))
     longest = F.greatest(*(
@@ -186,15 +196,24 @@ def window_hits(texts: DataFrame, ours: DataFrame) -> DataFrame:
     anchor = ["word", "offset", "reading", "n"]
     searched = ours.select("window", *anchor).distinct()
     anchors = searched.select(*anchor).distinct()
-    if searched.count() <= BROADCAST_WINDOWS:
-        searched, anchors = F.broadcast(searched), F.broadcast(anchors)
+    small = searched.count() <= BROADCAST_WINDOWS
     rows = templates(texts, ["row", "doc_id"])
+    size, start = F.size("v").alias("size"), F.col("place") - F.col("offset")
+    # a short item is a document of its own, or nothing
+    inside = (start >= 0) & (start + F.col("n") <= F.col("size")) & ((F.col("n") >= SHORT) | (F.col("n") == F.col("size")))
     # outer, since the inner form also gets a filter on the array
-    rows = rows.select("*", F.posexplode_outer("v").alias("place", "word"))
-    start = F.col("place") - F.col("offset")
-    found = rows.join(anchors, "word").filter((start >= 0) & (start + F.col("n") <= F.size("v")))
-    found = found.withColumn("at", start).withColumn("window", _window(F.col("reading"), F.col("at"), F.col("n")))
-    return found.join(searched, ["window", *anchor]).select(
+    word = F.posexplode_outer("v").alias("place", "word")
+    if small:
+        found = rows.select("*", size, word).join(F.broadcast(anchors), "word").filter(inside).withColumn("at", start)
+    else:
+        # only single words are shuffled; the places found come back to their text once
+        places = rows.select("row", "doc_id", size, word).join(anchors, "word").filter(inside).withColumn("at", start)
+        places = places.groupBy("row", "doc_id").agg(F.collect_set(F.struct("at", *anchor)).alias("found"))
+        places = places.select(F.col("row").alias("of"), F.col("doc_id").alias("of_id"), "found")
+        on = (F.col("row") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("of_id"))
+        found = rows.join(places.hint("shuffle_hash"), on).select("*", F.explode("found").alias("f")).select(*rows.columns, "f.*")
+    found = found.withColumn("window", _window(F.col("reading"), F.col("at"), F.col("n")))
+    return found.join(F.broadcast(searched) if small else searched, ["window", *anchor]).select(
         "row", "doc_id", "at", "window", F.slice("raw", F.col("at") + 1, F.col("n")).alias("raw")
     )
 
@@ -215,7 +234,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     places = ours.select("window", "item_id", "reading", F.col("at").alias("item_at"), "slots")
     hits = found.join(places, "window").withColumn("shift", F.col("at") - F.col("item_at"))
     pairs = F.transform("slots", lambda s: F.struct(
-        _value(s["v"]).alias("theirs"), _value(F.element_at("raw", s["k"] + 1)).alias("ours")))
+        F.concat(_value(s["v"]), F.lit(" "), s["r"]).alias("theirs"), _value(F.element_at("raw", s["k"] + 1)).alias("ours")))
     hits = written(hits.select("row", "doc_id", "item_id", "shift", "reading", "item_at", pairs.alias("pairs")), "template-pairs")
     along = ["row", "doc_id", "item_id", "shift", "reading"]
     values = (
@@ -248,6 +267,7 @@ def leak_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without the contaminated ones; columns as they were."""
-    bad = contaminated(docs, benchmark).select(F.col("row").alias("_row"), F.col("doc_id").alias("_id")).distinct()
-    on = (row_key() == F.col("_row")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    row, doc = free_names(docs.columns, "row", "id")
+    bad = contaminated(docs, benchmark).select(F.col("row").alias(row), F.col("doc_id").alias(doc)).distinct()
+    on = (row_key() == F.col(row)) & F.col("doc_id").eqNullSafe(F.col(doc))
     return docs.join(bad.hint("shuffle_hash"), on, "left_anti")
