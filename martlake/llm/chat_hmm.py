@@ -17,7 +17,8 @@ as Viterbi over the whole.
 Defined cases: null texts are one empty line; rows without conv_id or turn
 have no place in a transcript and are left out; rows of one turn are ordered by
 their text; unknown roles teach nothing; without labelled rows all tables are
-uniform but for the markers.
+uniform but for the markers.  Repeated rows are turns of their own; an empty table
+gives an empty result; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations

@@ -16,7 +16,8 @@ keep bitmap per document, not text.
 Null ids: rows without a document id take no part (no document to keep a
 line for) and are not in the result.  Null and empty texts are one empty line.
 Several rows under one id are one document for counting, and each row gets its
-own bitmap.
+own bitmap.  Memory goes with the longest text; an empty table gives an empty result;
+other columns pass through :func:`drop_lines` whatever their names.
 """
 
 from __future__ import annotations
@@ -26,12 +27,11 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martlake.llm.tables import row_key, written
+from martlake.llm.tables import free_names, row_key, written
 from martlake.llm.textbuf import SpanHash, TextBuf, as_bytes, chunks
 
 MIN_POINTS, MIN_DOCS = 40, 5
@@ -200,14 +200,17 @@ def keep_bitmaps(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     return lines.mapInArrow(_pack, "row long, doc_id long, keep binary")
 
 
-def with_bitmaps(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The documents and a column ``_keep`` with their bitmap or null.  The
+def with_bitmaps(
+    docs: DataFrame, keep: str = "keep", id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """The documents and a column ``keep`` with their bitmap or null.  The
     texts are shuffled once and not sorted: the bitmaps are the hashed side."""
+    row, doc = free_names([*docs.columns, keep], "row", "id")
     maps = keep_bitmaps(docs, id_column, text_column).select(
-        F.col("row").alias("_row"), F.col("doc_id").alias("_id"), F.col("keep").alias("_keep")
+        F.col("row").alias(row), F.col("doc_id").alias(doc), F.col("keep").alias(keep)
     )
-    on = (F.col(id_column).cast("long") == F.col("_id")) & (row_key(id_column, text_column) == F.col("_row"))
-    return docs.join(maps.hint("shuffle_hash"), on, "left").drop("_row", "_id")
+    on = (F.col(id_column).cast("long") == F.col(doc)) & (row_key(id_column, text_column) == F.col(row))
+    return docs.join(maps.hint("shuffle_hash"), on, "left").drop(row, doc)
 
 
 def kept_lines(raw: bytes, packed: bytes | None) -> tuple[bytes, int, int]:
@@ -235,23 +238,31 @@ def line_report(docs: DataFrame) -> DataFrame:
             )
 
     rows = docs.select(F.col("doc_id").cast("long"), "text").filter(F.col("doc_id").isNotNull())
-    joined = with_bitmaps(rows).select("doc_id", "text", "_keep")
+    joined = with_bitmaps(rows).select("doc_id", "text", "keep")
     return joined.mapInArrow(run, "doc_id long, n_lines long, n_dropped long, kept_sha256 string")
 
 
 def drop_lines(docs: DataFrame) -> DataFrame:
     """The documents table with the repeated lines gone from ``text`` and
-    ``n_chars`` brought up to date; other columns, and rows without a document
-    id, as they were."""
+    ``n_chars``, if there is one, brought up to date; other columns, and rows without
+    a document id, as they were."""
+    (keep,) = free_names(docs.columns, "keep")
+    joined = with_bitmaps(docs, keep).select(*docs.columns, keep)
+    text_at = docs.columns.index("text")
 
-    @F.pandas_udf("string")
-    def apply(text: pd.Series, packed: pd.Series) -> pd.Series:
-        return pd.Series(
-            [t if p is None else kept_lines(as_bytes(t), p)[0].decode("utf-8", "surrogatepass") for t, p in zip(text, packed)]
-        )
-
-    joined = with_bitmaps(docs)
-    text = F.when(F.col("_keep").isNull(), F.col("text")).otherwise(apply("text", "_keep"))
-    return joined.withColumn("text", text).withColumn(
-        "n_chars", F.when(F.col("_keep").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long"))
-    ).select(*docs.columns)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns, packed = batch.columns, batch.column(batch.num_columns - 1)
+            loses = np.flatnonzero(packed.is_valid().to_numpy(zero_copy_only=False))
+            if len(loses):
+                texts = columns[text_at].to_pylist()
+                for i in loses:
+                    texts[i] = kept_lines(as_bytes(texts[i]), packed[i].as_py())[0].decode("utf-8", "surrogatepass")
+                columns[text_at] = pa.array(texts, pa.string())
+            yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
+
+    out = joined.mapInArrow(run, joined.schema)
+    if "n_chars" in docs.columns:
+        now = F.length("text").cast(docs.schema["n_chars"].dataType)
+        out = out.withColumn("n_chars", F.when(F.col(keep).isNull(), F.col("n_chars")).otherwise(now))
+    return out.select(*docs.columns)

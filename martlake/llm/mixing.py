@@ -19,7 +19,9 @@ floors leave at most one token per node unspent.
 Defined cases: null or empty group names are the group ``''``; null, empty or
 wordless texts have 0 tokens and are never chosen; rows are told apart by id
 and text, so repeated rows each count; unlisted groups have weight 1, weights
-of 0 or less give nothing.
+of 0 or less give nothing; texts of any length count whole; ties in the seeded
+order go by the row's hash; an empty table gives an empty result; other columns
+pass through the stage.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martlake.llm.tables import row_key, written
+from martlake.llm.tables import free_names, row_key, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Hexadecimal digits of the order hash that name a bucket.
@@ -108,13 +110,14 @@ def leaf_budgets(
 def choose(
     docs: DataFrame, levels: Sequence[str] = ("domain", "lang", "source"),
     weights: Mapping[str, Mapping[str, int]] = WEIGHTS, budget: int | None = None,
-    max_epochs: int = MAX_EPOCHS, seed: int = SEED,
+    max_epochs: int = MAX_EPOCHS, seed: int = SEED, row: Column | None = None,
 ) -> DataFrame:
     """(row, doc_id, levels..., n_tokens, copies) of the chosen documents:
     ``copies`` is the number of epochs that contain the row.  ``docs`` has
-    doc_id, text and the columns named by ``levels``."""
+    doc_id, text and the columns named by ``levels``; ``row`` tells rows apart
+    (default: by id and text)."""
     base = docs.select(
-        row_key().alias("row"), "doc_id", *(F.coalesce(F.col(x), F.lit("")).alias(x) for x in levels),
+        (row_key() if row is None else row).alias("row"), "doc_id", *(F.coalesce(F.col(x), F.lit("")).alias(x) for x in levels),
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("n_tokens"),
     ).filter("n_tokens > 0")
     base = written(base, "mix-rows")
@@ -154,10 +157,12 @@ def mixture(docs: DataFrame) -> DataFrame:
 
 
 def mix_stage(docs: DataFrame) -> DataFrame:
-    """The chosen documents with all their columns, ``domain`` and ``copies``."""
-    with_domain = docs.withColumn("domain", domain_of())
-    chosen = choose(with_domain).select(F.col("row").alias("_row"), F.col("doc_id").alias("_id"), "copies")
-    # repeated rows: which of two equal rows was within the prefix is not told apart
-    chosen = chosen.groupBy("_row", "_id").agg(F.max("copies").alias("copies"))
-    on = (row_key() == F.col("_row")) & F.col("doc_id").eqNullSafe(F.col("_id"))
-    return with_domain.join(chosen.hint("shuffle_hash"), on).select(*docs.columns, "domain", "copies")
+    """The chosen documents with all their columns, ``domain`` and ``copies``
+    (columns of these names are replaced).  Equal rows are chosen one by one: rows
+    are numbered, and written with their numbers, first."""
+    rest = [c for c in docs.columns if c.lower() not in ("domain", "copies")]
+    number, row = free_names([*rest, "domain", "copies"], "number", "row")
+    rows = written(docs.select(*rest).withColumn(number, F.monotonically_increasing_id()), "mix-numbered")
+    rows = rows.withColumn("domain", domain_of())
+    chosen = choose(rows, row=F.col(number)).select(F.col("row").alias(row), "copies")
+    return rows.join(chosen.hint("shuffle_hash"), F.col(number) == F.col(row)).select(*rest, "domain", "copies")

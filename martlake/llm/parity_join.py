@@ -30,7 +30,9 @@ sets.  Equal sets are one node from the start.
 
 Defined cases: null or empty texts, or texts without words, have no n-grams and
 link with nothing; fewer words than n form one n-gram; each input row gives one
-row; rows without an id are left out.  A node is a 64-bit digest of the set.
+row; rows without an id are left out (they have no component id).  A node is a 64-bit
+digest of the set.  Memory goes with the longest text (see the tests of ``textbuf``); an
+empty table gives an empty result; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations

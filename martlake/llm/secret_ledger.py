@@ -9,7 +9,8 @@ back to all paths.
 
 Offsets are code points, end exclusive.  Null texts count as empty; a null
 path is a path of its own kind and gets its findings as well; repeated rows
-and equal texts share one blob.
+and equal texts share one blob.  A text of any length is scanned whole; an empty table
+gives an empty result; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations

@@ -14,7 +14,9 @@ splitting, and texts with one that differs are split by the library.
 
 The library's default handling of special strings is kept: they are cut out
 of a text first and count as one token each.  Null and empty texts have 0 bytes
-and 0 tokens.
+and 0 tokens; repeated rows and null ids each give a row; texts of any length are
+counted whole, one at a time; an empty table gives an empty result; other columns,
+whatever their names, are not read.
 """
 
 from __future__ import annotations
