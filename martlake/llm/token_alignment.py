@@ -55,7 +55,7 @@ LANE = 128
 LUMP_PAIRS = 1 << 20
 #: Tokens (both sides) of the words that a task remembers, and words encoded
 #: by one call of the libraries.
-REMEMBERED, ENCODED = 2_000_000, 1 << 14
+REMEMBERED, ENCODED = 4_000_000, 1 << 14
 
 _GAP = re.compile(r"(?<=\S) (?=\S)")
 #: A space beside another blank, or at an end: the text needs the pattern.
