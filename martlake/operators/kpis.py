@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from martlake.functions.numbers import cents, ratio_half_up
+from martlake.sources.files import partition_values, read_layer
 
 # Metric names (fixed values).
 TOTAL_ORDERS = "Total Orders"
@@ -169,6 +170,22 @@ def repurchase_rate_30d(
     return _repurchase(per_customer, min_orders, REPURCHASE_RATE_30D)
 
 
+def repurchase_rate_30d_of_layout(
+    spark: SparkSession, path: str, day_column: str, *, days: int = 30, min_orders: int = 2
+) -> DataFrame:
+    """:func:`repurchase_rate_30d` over an order table of valid orders laid out in
+    folders by day.
+
+    The last day is read off the names of the folders, before any file is opened, so
+    that its window is a literal range and the scan lists only the folders in it."""
+    values = [v for v in partition_values(spark, path, day_column) if v is not None]
+    orders = read_layer(spark, path).withColumnRenamed(day_column, "order_purchase_date")
+    if not values:
+        return repurchase_rate_30d(orders, days=days, min_orders=min_orders)
+    as_of = max(_dt.date.fromisoformat(v) for v in values)
+    return repurchase_rate_30d(orders, days=days, as_of=as_of, min_orders=min_orders)
+
+
 def positive_review_rate(reviews: DataFrame) -> DataFrame:
     score = F.col("review_score")
     one = reviews.agg(
@@ -206,6 +223,45 @@ def kpi_values(
     return out
 
 
+def kpi_values_fused(
+    orders: DataFrame, days: DataFrame, reviews: DataFrame, *, window_days: int = 30, min_orders: int = 2
+) -> DataFrame:
+    """All KPI values (as :func:`kpi_values`) from the table of
+    ``customer_days.customer_days``, which has read ``order_wide`` once.
+
+    All order KPIs are one aggregate in two levels: per customer (sums, orders, and
+    orders in the last days), then over customers.  The last purchase date is a
+    scalar subquery of the same small table; pass a written one.
+    """
+    day = F.col("stat_date")
+    last = days.agg(F.max(day)).scalar()
+    recent = F.when(day > F.date_sub(last, window_days), F.col("last_orders"))
+    dated = day.isNotNull()
+    per_customer = days.groupBy("customer_unique_id").agg(
+        F.sum("last_orders").alias("orders"),
+        F.sum(recent).alias("recent"),
+        F.sum(F.when(dated, F.col("day_orders"))).alias("day_orders"),
+        F.sum(F.when(dated, F.col("delivered"))).alias("delivered"),
+        F.sum(F.when(dated, F.col("money"))).alias("money"),
+        *(F.sum(c).alias(c) for c in ("n_rows", "converted", "delivery_days", "delivery_known", "late", "late_known")),
+    )
+    active = F.col("recent") > 0
+    total = lambda c: F.sum(c)
+    one = per_customer.agg(
+        total("money").cast("double").alias(TOTAL_GMV),
+        ratio_half_up(cents(total("money")), total("day_orders") * 100, 2).alias(AVG_ORDER_VALUE),
+        ratio_half_up(total("delivered") * 100, total("day_orders"), 2).alias(COMPLETION_RATE),
+        ratio_half_up(total("delivery_days"), total("delivery_known"), 1).alias(AVG_DELIVERY_DAYS),
+        ratio_half_up(total("late") * 100, total("late_known"), 2).alias(LATE_DELIVERY_RATE),
+        F.count("customer_unique_id").alias(TOTAL_CUSTOMERS),
+        ratio_half_up(total("converted") * 100, total("n_rows"), 2).alias(PAYMENT_CONVERSION_RATE),
+        ratio_half_up(F.count_if(F.col("orders") >= min_orders) * 100, F.count(F.lit(1)), 2).alias(REPURCHASE_RATE),
+        ratio_half_up(F.count_if(F.col("recent") >= min_orders) * 100, F.count_if(active), 2).alias(REPURCHASE_RATE_30D),
+    )
+    one = one.select(*(F.col(f"`{c}`").cast("double").alias(c) for c in one.columns))
+    return total_orders(orders).unionByName(_as_metrics(one)).unionByName(positive_review_rate(reviews))
+
+
 def metric_catalog(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(CATALOG, CATALOG_SCHEMA)
 

@@ -12,27 +12,19 @@ def with_previous(
     """Add ``out_col`` = ``value_col`` of the row just before in ``order_col``
     order (like ``LAG(value) OVER (ORDER BY order_col)``; the first row gets NULL).
 
-    A plain ``LAG`` over the whole table moves every row into one task.  Here
-    the window is partitioned by a coarse ``bucket`` that rises with
-    ``order_col`` (for a date: its year), so each task sees one bucket.  The
-    first row of a bucket takes the last value of the previous non-empty
-    bucket, found on a one-row-per-bucket table.  ``order_col`` must be unique.
+    A plain ``LAG`` over the whole table moves every row into one task.  Here rows are
+    gathered by a coarse ``bucket`` that rises with ``order_col`` (for a date: its year,
+    at most 366 rows where a day is one row), each bucket sorted by itself in its task.
+    The first row of a bucket takes the last value of the bucket before, from a window
+    over buckets (a row each).  ``df`` is read once: nothing is written in between.
+    ``order_col`` must be unique.
     """
-    b = df.withColumn("_bucket", bucket)
-    w = Window.partitionBy("_bucket").orderBy(order_col)
-    b = b.withColumn("_rn", F.row_number().over(w)).withColumn(
-        "_prev_in_bucket", F.lag(value_col).over(w)
-    )
-    tails = b.groupBy("_bucket").agg(F.max_by(value_col, order_col).alias("_tail"))
-    # One row per bucket (e.g. per year), so this window is tiny.
-    carry = tails.select(
-        "_bucket", F.lag("_tail").over(Window.orderBy("_bucket")).alias("_carry")
-    )
-    return (
-        b.join(carry, "_bucket", "left")
-        .withColumn(
-            out_col,
-            F.when(F.col("_rn") == 1, F.col("_carry")).otherwise(F.col("_prev_in_bucket")),
-        )
-        .drop("_bucket", "_rn", "_prev_in_bucket", "_carry")
+    others = [c for c in df.columns if c != order_col]
+    gathered = df.groupBy(bucket.alias("_bucket")).agg(
+        F.sort_array(F.collect_list(F.struct(order_col, *others))).alias("_rows")
     )
+    last = F.element_at("_rows", -1)[value_col]
+    carried = gathered.withColumn("_carry", F.lag(last).over(Window.orderBy("_bucket")))
+    each = carried.select("_rows", "_carry", F.posexplode("_rows").alias("_at", "_row"))
+    before = F.when(F.col("_at") == 0, F.col("_carry")).otherwise(F.get("_rows", F.col("_at") - 1)[value_col])
+    return each.select(*(F.col("_row")[c].alias(c) for c in df.columns), before.alias(out_col))

@@ -470,4 +470,38 @@ USING (order_id)""",
     q["kpi_repurchase_rate_min10"] = _repurchase("Repurchase Rate", 10)
     q["kpi_summary"] = _kpi_summary_sql()
     q["warehouse_kpis"] = _kpi_summary_sql()
+    q["ods_reviews_by_blocks"] = _sql(
+        [SOURCES],
+        "SELECT * REPLACE (review_comment_message || chr(10) || 'said \"twice\",' || chr(10) || review_id "
+        "AS review_comment_message) FROM m_reviews",
+    )
+    q["quarantine_orders"] = _sql(
+        [SOURCES],
+        """SELECT order_id,
+       CASE WHEN early IS NULL OR early <> 1 THEN order_purchase_timestamp END AS order_purchase_timestamp,
+       concat_ws(',', CASE WHEN early = 1 THEN 'order_purchase_timestamp' END,
+                      CASE WHEN vague = 2 THEN 'order_estimated_delivery_date' END) AS failed
+FROM (SELECT *, CAST(order_id AS BIGINT) % 13 AS early, CAST(order_id AS BIGINT) % 17 AS vague FROM m_orders)""",
+    )
+    q["daily_order_stats_refreshed"] = q["daily_order_stats"]
+    periods = ("strftime(order_purchase_date, '%Y-%m')", "strftime(order_purchase_date, '%Y')", "'all'")
+    q["customer_counts_from_bitmaps"] = _sql(
+        _OW,
+        " UNION ALL ".join(
+            f"SELECT {p} AS period, count(DISTINCT customer_unique_id) AS total_customers FROM ow "
+            "WHERE customer_unique_id IS NOT NULL AND order_purchase_date IS NOT NULL GROUP BY 1"
+            for p in periods
+        ),
+    )
+    q["customer_totals_upsert"] = _sql(
+        _OW,
+        """SELECT customer_unique_id, count(DISTINCT order_id) AS total_orders,
+       CAST(sum(total_payment_value) AS DOUBLE) AS gmv, min(order_purchase_date) AS first_order_date
+FROM ow WHERE customer_unique_id IS NOT NULL GROUP BY ALL""",
+    )
+    q["kpi_repurchase_rate_30d_by_day_layout"] = q["kpi_repurchase_rate_30d"]
+    for key in ("order_wide_with_items", "category_stats", "category_review_scores"):
+        q[f"colocated_{key}"] = q[key]
+    q["kpi_summary_by_parts"] = _kpi_summary_sql()
+    q["daily_from_customer_days"] = q["daily_order_stats"]
     return q

@@ -10,14 +10,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlake.functions.numbers import decimals_to_double
-from martlake.operators import detail, kpis, serving, summary
+from martlake.operators import colocated, detail, distinct_counts, kpis, refresh, serving, summary
+from martlake.operators.customer_days import customer_days, daily_from_customer_days
 from martlake.operators.summary_sql import daily_order_stats_sql
 from martlake.plans.warehouse import DETAIL_PARTITION, build_warehouse, write_source_csv
-from martlake.schemas import SOURCE_FILES
+from martlake.schemas import SOURCE_FILES, SOURCE_SCHEMAS
 from martlake.session import new_scratch_dir, write_scratch_table
 from martlake.sinks.files import write_layer
+from martlake.sinks.keyed import read_keyed, upsert_keyed, write_keyed
 from martlake.sources.files import ingest, read_layer
 from martlake.sources.fixtures import BUILDERS, fixture_tables
+from martlake.sources.quarantine import quarantine
+from martlake.sources.records import read_records_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -92,12 +96,18 @@ def _top_reviewed(spark, d):
 
 
 def _trend(spark, d):
-    # read twice (rows, per-year tails), so it is written once, as the job does
-    return serving.gmv_trend(write_scratch_table(_daily(spark, d), "daily"))
+    return serving.gmv_trend(_daily(spark, d))
 
 
 def _kpi_summary(spark: SparkSession, d: str) -> DataFrame:
-    # order_wide feeds five KPI branches and the daily table: write it once
+    # order_wide is read once; the small table that it becomes feeds all KPIs
+    t = fixture_tables(spark, d)
+    days = write_scratch_table(customer_days(_ow(spark, d)), "customer_days")
+    return kpis.refresh_metrics(kpis.metric_catalog(spark), kpis.kpi_values_fused(t.orders, days, t.reviews))
+
+
+def _kpi_summary_by_parts(spark: SparkSession, d: str) -> DataFrame:
+    # one aggregate per KPI family, for any ``as_of`` (see kpis.kpi_values)
     t = fixture_tables(spark, d)
     ow = write_scratch_table(_ow(spark, d), "order_wide")
     daily = write_scratch_table(summary.daily_order_stats(ow), "daily")
@@ -105,6 +115,91 @@ def _kpi_summary(spark: SparkSession, d: str) -> DataFrame:
     return kpis.refresh_metrics(kpis.metric_catalog(spark), values)
 
 
+def _dirty_orders_csv(spark: SparkSession, d: str) -> str:
+    """Raw orders as text, some of them with dates that do not parse."""
+    key = F.col("order_id").try_cast("long")
+    text = BUILDERS["orders"](spark, d).select(
+        *(F.col(c).cast("string").alias(c) for c in SOURCE_SCHEMAS["orders"].fieldNames())
+    )
+    text = text.withColumn(
+        "order_purchase_timestamp", F.when(key % 13 == 1, "soon").otherwise(F.col("order_purchase_timestamp"))
+    ).withColumn(
+        "order_estimated_delivery_date", F.when(key % 17 == 2, "n/a, ask").otherwise(F.col("order_estimated_delivery_date"))
+    )
+    raw = f"{new_scratch_dir(spark, 'raw')}/{SOURCE_FILES['orders']}"
+    text.write.option("header", True).option("escape", '"').csv(raw)
+    return raw
+
+
+def _reviews_read_by_blocks(spark: SparkSession, d: str) -> DataFrame:
+    """Raw reviews with quoted line breaks in their messages, read by blocks."""
+    text = F.concat(F.col("review_comment_message"), F.lit('\nsaid "twice",\n'), F.col("review_id"))
+    raw = f"{new_scratch_dir(spark, 'raw')}/{SOURCE_FILES['reviews']}"
+    write_source_csv(BUILDERS["reviews"](spark, d).withColumn("review_comment_message", text), raw)
+    return read_records_csv(spark, "reviews", raw)
+
+
+def _quarantine_orders(spark: SparkSession, d: str) -> DataFrame:
+    out = new_scratch_dir(spark, "quarantine")
+    accepted, rejected = quarantine(spark, "orders", _dirty_orders_csv(spark, d), out)
+    return accepted.select("order_id", "order_purchase_timestamp", F.lit("").alias("failed")).unionByName(
+        rejected.select("order_id", "order_purchase_timestamp", F.array_join("failed", ",").alias("failed"))
+    )
+
+
+def _two_batches(spark: SparkSession, d: str) -> refresh.DayStore:
+    """A store filled with most orders, then refreshed with the rest, whose days
+    are spread over all the others' (late orders)."""
+    store = refresh.DayStore(spark, new_scratch_dir(spark, "day-store"), folders=refresh.MONTHS)
+    ow = write_scratch_table(_ow(spark, d), "order_wide")
+    late = F.pmod(F.xxhash64("order_id"), F.lit(20)) == 0
+    refresh.build(store, ow.filter(~late))
+    refresh.refresh(store, ow.filter(late), "late")
+    return store
+
+
+def _keyed_totals(spark: SparkSession, d: str) -> DataFrame:
+    """Orders, GMV and first day per known customer: a keyed table, updated with a
+    second batch that adds to it."""
+    days = write_scratch_table(customer_days(_ow(spark, d)), "customer_days")
+    late = F.pmod(F.xxhash64("stat_date"), F.lit(7)) == 0
+
+    def totals(part: DataFrame) -> DataFrame:
+        return part.filter(F.col("customer_unique_id").isNotNull()).groupBy("customer_unique_id").agg(
+            F.sum("last_orders").alias("total_orders"),
+            F.sum("money").alias("gmv"),
+            F.min("stat_date").alias("first_order_date"),
+        )
+
+    key, path = ["customer_unique_id"], new_scratch_dir(spark, "keyed")
+    write_keyed(totals(days.filter(~late)), path, key, 16)
+    added = {
+        "total_orders": F.coalesce("old.total_orders", F.lit(0)) + F.col("new.total_orders"),
+        "gmv": F.when(F.col("old.gmv").isNull(), F.col("new.gmv")).otherwise(
+            F.col("old.gmv") + F.coalesce("new.gmv", F.lit(0))
+        ),
+        "first_order_date": F.least("old.first_order_date", "new.first_order_date"),
+    }
+    upsert_keyed(spark, path, totals(days.filter(late)), key, 16, added)
+    return read_keyed(spark, path)
+
+
+def _repurchase_30d_by_day_layout(spark: SparkSession, d: str) -> DataFrame:
+    path = new_scratch_dir(spark, "order_wide")
+    write_layer(_ow(spark, d), path, partition_by=DETAIL_PARTITION)
+    return kpis.repurchase_rate_30d_of_layout(spark, path, DETAIL_PARTITION)
+
+
+def _layers(spark: SparkSession, d: str) -> colocated.OrderLayers:
+    t = fixture_tables(spark, d)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return colocated.write_order_layers(_ow(spark, d), t.order_items, _iw(spark, d), t.reviews, buckets)
+
+
+def _daily_from_customer_days(spark: SparkSession, d: str) -> DataFrame:
+    return _out(daily_from_customer_days(customer_days(_ow(spark, d))))
+
+
 def _warehouse_kpis(spark: SparkSession, d: str) -> DataFrame:
     """The full layered job from raw CSV; returns its KPI summary table."""
     root = new_scratch_dir(spark, "warehouse")
@@ -160,5 +255,16 @@ QUERIES: dict[str, Query] = {
     ),
     "kpi_total_orders": lambda s, d: kpis.total_orders(fixture_tables(s, d).orders),
     "kpi_summary": _kpi_summary,
+    "ods_reviews_by_blocks": _reviews_read_by_blocks,
+    "quarantine_orders": _quarantine_orders,
+    "daily_order_stats_refreshed": lambda s, d: _out(_two_batches(s, d).read("daily").drop(refresh.FOLDER)),
+    "customer_counts_from_bitmaps": lambda s, d: distinct_counts.customer_counts(_two_batches(s, d).read("bitmaps")),
+    "customer_totals_upsert": lambda s, d: _out(_keyed_totals(s, d)),
+    "kpi_repurchase_rate_30d_by_day_layout": _repurchase_30d_by_day_layout,
+    "colocated_order_wide_with_items": lambda s, d: _out(colocated.order_wide_with_items(_layers(s, d))),
+    "colocated_category_stats": lambda s, d: _out(colocated.category_stats(_layers(s, d))),
+    "colocated_category_review_scores": lambda s, d: _out(colocated.category_review_scores(_layers(s, d))),
+    "kpi_summary_by_parts": _kpi_summary_by_parts,
+    "daily_from_customer_days": _daily_from_customer_days,
     "warehouse_kpis": _warehouse_kpis,
 }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -16,6 +18,9 @@ from martlake.schemas import (
 
 CORRUPT = "_corrupt_record"
 
+#: Folder name that stands for NULL in a partitioned layer (fixed value).
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+
 #: Spellings of column names that raw files are known to have (fixed values).
 COLUMN_ALIASES = {
     "product_name_lenght": "product_name_length",
@@ -139,3 +144,13 @@ def ingest_all(
 def read_layer(spark: SparkSession, path: str) -> DataFrame:
     """A written Parquet layer; Hive-style ``col=value`` folders become columns."""
     return spark.read.parquet(path)
+
+
+def partition_values(spark: SparkSession, path: str, column: str) -> list[str | None]:
+    """The values of a layer's partition column, from the names of its ``col=value``
+    folders (one listing, no file is opened); None for the folder of NULLs."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory()]
+    values = [unquote(n[len(column) + 1 :]) for n in names if n.startswith(f"{column}=")]
+    return [None if v == NULL_FOLDER else v for v in values]

@@ -6,6 +6,7 @@ from decimal import Decimal
 
 import pytest
 
+from martlake.schemas import SOURCE_SCHEMAS
 from martlake.session import new_scratch_dir
 from martlake.sinks.files import write_layer
 from martlake.sinks.jdbc import jdbc_write_options
@@ -185,3 +186,70 @@ def test_ingest_all_counts_rows_while_writing(spark):
     counts = ingest_all(spark, f"{root}/raw", f"{root}/ods")
     assert counts == expected
     assert read_layer(spark, f"{root}/ods/orders").count() == expected["orders"]
+
+
+def test_quarantine_tells_the_failing_columns_and_keeps_the_text(spark):
+    from martlake.sources.quarantine import WHOLE_ROW, quarantine
+
+    root = new_scratch_dir(spark, "csv")
+    lines = [
+        "price,order_id,order_item_id,product_id,seller_id,shipping_limit_date,freight_value",
+        "0.10,o1,1,p,s,2018-01-01 00:00:00,0.20", 'x,"o,2",two,p,s,2018-01-01 00:00:00,0.20',
+        "0.10,o3,3,p,s,soon,", "0.10,o4,4,p,s,2018-01-01 00:00:00,0.20,more", "0.10,o5", ",,,,,,",
+    ]
+    good, bad = quarantine(spark, "order_items", _write(root + "/i.csv", "\n".join(lines) + "\n"), root + "/out")
+    assert good.columns == SOURCE_SCHEMAS["order_items"].fieldNames()
+    assert sorted(r["order_id"] or "" for r in good.collect()) == ["", "o1"]
+    rejects = {r["order_id"]: (r["failed"], r["raw"]) for r in bad.collect()}
+    assert rejects["o,2"] == (["order_item_id", "price"], lines[2])
+    assert rejects["o3"] == (["shipping_limit_date"], lines[3])
+    assert rejects["o4"] == ([WHOLE_ROW], lines[4]) and rejects["o5"] == ([WHOLE_ROW], lines[5])
+    assert good.count() + bad.count() == len(lines) - 1
+
+
+def _review_file(path, n, end="\n"):
+    """Reviews whose messages hold line breaks, quotes, commas and blank lines."""
+    head = "review_id,order_id,review_score,review_comment_title,review_comment_message,review_creation_date,review_answer_timestamp"
+    rows = [head]
+    for i in range(n):
+        text = ["plain", '"two\nlines"', '"a ""quoted"" one,\n\n\nwith ""\n"" breaks"', '"' + "long\n" * (i % 40) + '"', ""][i % 5]
+        rows.append(f"r{i},o{i},{i % 6 or 'x'},{'t' if i % 3 else ''},{text},2018-01-01 10:00:00,2018-01-02 11:00:0{i % 10}")
+        if i % 50 == 0:
+            rows.append("")
+    return _write(path, end.join(r.replace("\n", end) for r in rows) + (end if n % 2 else ""))
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+@pytest.mark.parametrize("block", [64, 700, 1 << 20])
+def test_records_with_line_breaks_are_read_by_blocks(spark, end, block):
+    from martlake.sources.records import read_records_csv
+
+    root = new_scratch_dir(spark, "csv")
+    for k, n in enumerate((301, 40, 0)):
+        _review_file(f"{root}/reviews/{k}.csv", n, end)
+    want = sorted(map(tuple, read_source_csv(spark, "reviews", root + "/reviews").collect()), key=repr)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(block))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        df = read_records_csv(spark, "reviews", root + "/reviews")
+        got = sorted(map(tuple, df.collect()), key=repr)
+        if block < 1000:
+            from martlake.sources.records import _lines
+
+            assert _lines(spark, root + "/reviews").rdd.getNumPartitions() > 10
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert len(want) == 341 and got == want
+
+
+def test_files_with_another_header_are_an_error(spark):
+    from martlake.sources.records import read_records_csv
+
+    root = new_scratch_dir(spark, "csv")
+    _review_file(f"{root}/r/0.csv", 5)
+    other = "order_id,review_id,review_score,review_comment_title,review_comment_message,review_creation_date,review_answer_timestamp\n"
+    _write(f"{root}/r/1.csv", other + "o,r,1,,,2018-01-01 10:00:00,2018-01-01 10:00:00\n")
+    with pytest.raises(Exception, match="another header"):
+        read_records_csv(spark, "reviews", f"{root}/r").collect()
