@@ -18,11 +18,11 @@ least ``LITERALS`` plain words are joined by hash with those of the benchmark in
 the same reading.
 
 A text and an item match along alignments (distance of the two windows).  In a
-re-parameterised copy a value of the item in one role (the word that follows it)
-stands for one value of the text throughout, while equal values in other roles ("3
-coaches and 3 drivers") may differ; an alignment in which some value in one role meets
-two values in a reading is no copy there, and its windows do not count.  Numbers
-written as words are plain words.  A text is contaminated
+re-parameterised copy a value of the item stands for one value of the text
+throughout; an alignment in which some value of the item meets two values in a
+reading is no copy there, and its windows do not count (so equal values of an item that
+are equal by chance must stay equal in a copy).  Numbers written as words are plain
+words.  A text is contaminated
 by an item when the counted windows cover ``COVER`` percent of the item's, or
 ``RUN`` of them, in one reading or in all together.  Counts are those of the
 first reading that matches, in the order above, all together last; then slots
@@ -154,7 +154,7 @@ def whole_items(rows: DataFrame) -> DataFrame:
     return rows.withColumn("a", longest).select(
         "item_id", reading.alias("reading"), at.alias("at"), F.size("v").alias("n"),
         _window(reading, at, F.size("v")).alias("window"), F.col("a.word").alias("word"),
-        (-F.col("a.k")).alias("offset"), F.array().cast("array<struct<k:int,v:string,r:string>>").alias("slots"),
+        (-F.col("a.k")).alias("offset"), F.array().cast("array<struct<k:int,v:string>>").alias("slots"),
     )
 
 
@@ -169,10 +169,7 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     rows = rows.withColumn("t", _read(F.col("reading")))
     places = [F.col("t")[F.col("at") + k] for k in range(WINDOW)]
     slots = F.array_compact(F.array(*(
-        F.when(p.isin(_NUM, _UNIT, _NAME), F.struct(
-            F.lit(k).alias("k"), F.col("raw")[F.col("at") + k].alias("v"),
-            F.coalesce(F.get("v", F.col("at") + k + 1), F.lit("")).alias("r"),
-        ))
+        F.when(p.isin(_NUM, _UNIT, _NAME), F.struct(F.lit(k).alias("k"), F.col("raw")[F.col("at") + k].alias("v")))
         for k, p in enumerate(places)
     )))
     longest = F.greatest(*(
@@ -234,7 +231,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     places = ours.select("window", "item_id", "reading", F.col("at").alias("item_at"), "slots")
     hits = found.join(places, "window").withColumn("shift", F.col("at") - F.col("item_at"))
     pairs = F.transform("slots", lambda s: F.struct(
-        F.concat(_value(s["v"]), F.lit(" "), s["r"]).alias("theirs"), _value(F.element_at("raw", s["k"] + 1)).alias("ours")))
+        _value(s["v"]).alias("theirs"), _value(F.element_at("raw", s["k"] + 1)).alias("ours")))
     hits = written(hits.select("row", "doc_id", "item_id", "shift", "reading", "item_at", pairs.alias("pairs")), "template-pairs")
     along = ["row", "doc_id", "item_id", "shift", "reading"]
     values = (
