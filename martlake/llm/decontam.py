@@ -31,8 +31,9 @@ are counted in each of them.
 An item without a window, since it has fewer than ``WINDOW`` words or too many
 slots in all of them, has its whole text as its only window, without slots: it is
 found where all its words stand in a row, apart from case and punctuation, with
-the same numbers and names.  One of under ``SHORT`` words has to be the whole document:
-such words stand in many a clean text.
+the same numbers and names.  The report has every such place; :func:`drop_contaminated`
+takes items of under ``SHORT`` words only where they are the whole document, since such
+words stand in many a clean text.
 
 Built-in functions only.  All windows of all texts are searched: by the longest
 plain word of each benchmark window, then by the window's hash.  The benchmark
@@ -57,7 +58,7 @@ from martlake.llm.tables import free_names, row_key, written
 WINDOW, LITERALS = 8, 4
 COVER, RUN = 50, 13
 BROADCAST_WINDOWS = 500_000
-#: Items of fewer words, matched as a whole, have to be the whole document.
+#: For cleaning, items of fewer words have to be the whole document.
 SHORT = 3
 
 #: Unit words, as they follow a number.
@@ -185,7 +186,7 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     ).unionByName(whole_items(items))
 
 
-def window_hits(texts: DataFrame, ours: DataFrame) -> DataFrame:
+def window_hits(texts: DataFrame, ours: DataFrame, short: int = 0) -> DataFrame:
     """(row, doc_id, at, window, raw): the windows of the texts that are among
     ``ours``.  Each word of a text is looked up once; only where a benchmark
     window's longest word stands is a window hashed, in that reading, and looked
@@ -196,8 +197,9 @@ def window_hits(texts: DataFrame, ours: DataFrame) -> DataFrame:
     small = searched.count() <= BROADCAST_WINDOWS
     rows = templates(texts, ["row", "doc_id"])
     size, start = F.size("v").alias("size"), F.col("place") - F.col("offset")
-    # a short item is a document of its own, or nothing
-    inside = (start >= 0) & (start + F.col("n") <= F.col("size")) & ((F.col("n") >= SHORT) | (F.col("n") == F.col("size")))
+    inside = (start >= 0) & (start + F.col("n") <= F.col("size"))
+    if short:  # items of fewer words are a document of their own, or nothing
+        inside &= (F.col("n") >= short) | (F.col("n") == F.col("size"))
     # outer, since the inner form also gets a filter on the array
     word = F.posexplode_outer("v").alias("place", "word")
     if small:
@@ -219,15 +221,16 @@ def _value(word: Column) -> Column:
     return F.lower(F.regexp_replace(word, r"[^\p{L}\p{N}]+", ""))
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, short: int = 0) -> DataFrame:
     """(row, doc_id, item_id, n_windows, item_windows, n_slots) of every
-    document and item that match; ``row`` is the document's ``row_key``."""
+    document and item that match; ``row`` is the document's ``row_key``.  Items of
+    fewer than ``short`` words match only a document that is nothing else."""
     ours = written(benchmark_windows(benchmark), "benchmark-windows")
     read = F.explode(F.array("reading", F.lit(ANY))).alias("reading")
     sizes = ours.select("item_id", "at", read).groupBy("item_id", "reading").agg(
         F.countDistinct("at").alias("item_windows"))
     texts = docs.select(row_key().alias("row"), "doc_id", "text")
-    found = written(window_hits(texts, ours), "template-hits")
+    found = written(window_hits(texts, ours, short), "template-hits")
     places = ours.select("window", "item_id", "reading", F.col("at").alias("item_at"), "slots")
     hits = found.join(places, "window").withColumn("shift", F.col("at") - F.col("item_at"))
     pairs = F.transform("slots", lambda s: F.struct(
@@ -265,6 +268,6 @@ def leak_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without the contaminated ones; columns as they were."""
     row, doc = free_names(docs.columns, "row", "id")
-    bad = contaminated(docs, benchmark).select(F.col("row").alias(row), F.col("doc_id").alias(doc)).distinct()
+    bad = contaminated(docs, benchmark, SHORT).select(F.col("row").alias(row), F.col("doc_id").alias(doc)).distinct()
     on = (row_key() == F.col(row)) & F.col("doc_id").eqNullSafe(F.col(doc))
     return docs.join(bad.hint("shuffle_hash"), on, "left_anti")

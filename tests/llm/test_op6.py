@@ -174,8 +174,9 @@ def test_items_without_a_window_match_as_a_whole(spark):
     assert got == {(0, 0), (1, 0), (4, 1), (7, 2), (8, 3)}
 
 
-def test_items_of_one_or_two_words_have_to_be_the_whole_document(spark):
+def test_cleaning_takes_items_of_one_or_two_words_as_whole_documents(spark):
     bench = spark.createDataFrame([(1, "Paris"), (2, "New York."), (3, "Is it so?")], "item_id long, text string")
     texts = ["paris!", "I have seen Paris", "NEW york", "in New York", "tell me: is it so", "Paris Paris"]
-    got = {(r[0], r[1]) for r in run(make_docs(spark, texts), bench)}
-    assert got == {(0, 1), (2, 2), (4, 3)}
+    docs = make_docs(spark, texts)
+    assert {r[0] for r in run(docs, bench)} == set(range(6))
+    assert {r["doc_id"] for r in decontam.drop_contaminated(docs, bench).collect()} == {1, 3, 5}
