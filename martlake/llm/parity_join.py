@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martlake.llm.graph import components
-from martlake.llm.tables import written
+from martlake.llm.tables import dropped, stored, written
 from martlake.llm.textbuf import SpanHash, TextBuf, chunks, mix64, ngram_hash, whole
 
 FOLD = 16
@@ -287,9 +287,11 @@ def buckets(rows: DataFrame, tag: str) -> DataFrame:
     """(bucket, members) of all keys with two or more nodes; equal member lists
     that fit one row count once over all tasks."""
     sorted_rows = rows.repartition("key").sortWithinPartitions("key", "node")
-    lists = written(sorted_rows.mapInArrow(_runs, "bucket long, members array<long>, single boolean"), tag)
+    lists, folder = stored(sorted_rows.mapInArrow(_runs, "bucket long, members array<long>, single boolean"), tag)
     once = lists.filter("single").dropDuplicates(["members"]).unionByName(lists.filter("not single"))
-    return written(once.drop("single"), f"{tag}-once")
+    once = written(once.drop("single"), f"{tag}-once")
+    dropped(rows.sparkSession, folder)
+    return once
 
 
 def linked(pairs: DataFrame, docs: DataFrame, known: DataFrame, join: Join) -> DataFrame:
