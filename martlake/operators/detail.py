@@ -120,9 +120,12 @@ def order_wide(
 
 
 def order_item_wide(items: DataFrame, products: DataFrame, *, load_time=None) -> DataFrame:
-    """One row per order item with its product's category and weight."""
+    """One row per order item with its product's category and weight.
+
+    Items without a product are spread by order, seller and price: a summary then
+    reads no ``order_item_id``, which costs a sort per order where it is computed."""
     prod = products.select("product_id", "product_category_name", "product_weight_g")
-    out = lookup_left(items, prod, "product_id", ["order_id", "order_item_id"]).select(
+    out = lookup_left(items, prod, "product_id", ["order_id", "seller_id", "price"]).select(
         "order_id",
         "order_item_id",
         "product_id",

@@ -97,12 +97,17 @@ def category_stats(
     order_wide: DataFrame, order_item_wide: DataFrame, reviews: DataFrame | None = None
 ) -> DataFrame:
     """Per month and category: distinct orders, revenue, mean item price, and,
-    given ``reviews``, the mean review score (NULL without a scored order)."""
-    joined = _order_months(order_wide).join(_order_categories(order_item_wide), "order_id")
+    given ``reviews``, the mean review score (NULL without a scored order).
+
+    Both sides have one row per order (and month or category) before the join, with
+    the number of rows of a repeated order id, so orders are counted without a
+    distinct aggregate, which would hold all joined rows of a task twice."""
+    months = _order_months(order_wide).groupBy("order_id", "stat_month").agg(F.count(F.lit(1)).alias("copies"))
+    joined = months.join(_order_categories(order_item_wide), "order_id")
     agg = joined.groupBy(*_MONTH_CATEGORY).agg(
-        F.count_distinct("order_id").alias("total_orders"),
-        F.sum("price_sum").alias("total_revenue"),
-        F.sum("price_count").alias("price_count"),
+        F.count(F.lit(1)).alias("total_orders"),
+        F.sum(F.col("price_sum") * F.col("copies").cast(DecimalType(12, 0))).cast(DecimalType(32, 2)).alias("total_revenue"),
+        F.sum(F.col("price_count") * F.col("copies")).alias("price_count"),
     )
     out = agg.select(
         *_MONTH_CATEGORY,

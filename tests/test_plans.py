@@ -130,3 +130,30 @@ def test_null_keys_spread_over_reducers(spark):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert len(nulls) == 8 and max(r["count"] for r in nulls) < 1.2 * min(r["count"] for r in nulls)
     assert (matched, total) == (100, 10_100)  # the look-alike key of the dimension matches nothing
+
+
+def test_category_stats_holds_each_order_once(spark):
+    """No sort per order for an item number that is not read, no distinct aggregate."""
+    t = fixture_tables(spark, SF001)
+    ow = detail.order_wide(t.orders, t.customers, t.payments)
+    p = _plan(summary.category_stats(ow, detail.order_item_wide(t.order_items, t.products)))
+    assert "Window" not in p and "distinct" not in p and "partial_count(order_id" not in p, p
+
+
+def test_category_stats_of_repeated_orders(spark):
+    """A repeated order id counts once, its items as often as it is repeated."""
+    ow = spark.createDataFrame(
+        [("a", "2020-01-02", 1), ("a", "2020-01-03", 1), ("a", "2020-02-01", 1), ("b", None, 1), (None, "2020-01-01", 1)],
+        "order_id string, d string, is_valid int",
+    ).selectExpr("order_id", "cast(d as date) order_purchase_date", "is_valid")
+    iw = spark.createDataFrame(
+        [("a", "x", 1.5), ("a", "x", 2.0), ("a", "y", None), ("b", "x", 4.0), (None, "x", 8.0), ("a", None, 16.0)],
+        "order_id string, product_category_name string, p double",
+    ).selectExpr("order_id", "product_category_name", "cast(p as decimal(12,2)) price")
+    out = summary.category_stats(ow, iw)
+    assert out.schema["total_revenue"].dataType.simpleString() == "decimal(32,2)"
+    got = sorted((tuple(r) for r in out.collect()), key=str)
+    assert [(m, c, n, None if v is None else float(v), a) for m, c, n, v, a in got] == [
+        ("2020-01", "x", 1, 7.0, 1.75), ("2020-01", "y", 1, None, None),
+        ("2020-02", "x", 1, 3.5, 1.75), ("2020-02", "y", 1, None, None), (None, "x", 1, 4.0, 4.0),
+    ]
