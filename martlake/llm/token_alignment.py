@@ -9,8 +9,10 @@ byte ranges overlap are linked.
 *Encoding.*  :func:`word_cut` proves offline, from the two vocabularies, that a
 single space between two non-blank characters always starts a new token on both
 sides.  Texts are split there, and each distinct word is encoded once per task by
-the libraries themselves (without the proof a text is one word).  A word, and with
-it its text, is valid if the token bytes of both sides are space + word.
+the libraries themselves (without the proof a text is one word).  For A, words are
+joined by single spaces again and encoded ``JOINED`` at a time; their tokens are told
+apart by their bytes.  A word, and with it its text, is valid if the token bytes of
+both sides are space + word.
 
 *Lockstep merging.*  The words of all documents of a batch are laid out as lanes
 (a long document has several, cut between words, where both sides end a token).
@@ -37,6 +39,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -55,11 +58,13 @@ LANE = 128
 LUMP_PAIRS = 1 << 20
 #: Tokens (both sides) of the words that a task remembers, and words encoded
 #: by one call of the libraries.
-REMEMBERED, ENCODED = 4_000_000, 1 << 14
+REMEMBERED, ENCODED = 2_500_000, 1 << 14
+#: Words encoded as one text by A.
+JOINED = 64
 
 _GAP = re.compile(r"(?<=\S) (?=\S)")
 #: A space beside another blank, or at an end: the text needs the pattern.
-_BLANKS = re.compile(r"\s | \s|^ | $")
+_BLANKS = re.compile(r" (?:(?<=\s )|(?=\s))")
 
 
 @dataclass(frozen=True)
@@ -127,6 +132,12 @@ def ragged(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(start - before, size) + np.arange(int(size.sum()))
 
 
+def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of the lists, and how many each list has."""
+    n = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter(chain.from_iterable(lists), np.int32, int(n.sum())), n
+
+
 class Grown:
     """An array that grows at its end."""
 
@@ -159,27 +170,42 @@ class WordBook:
     def split(self, text: str) -> list[str]:
         if not self.v.cut:
             return [text]
-        return _GAP.split(text) if _BLANKS.search(text) else text.split(" ")
-
-    def learn(self, words: list[str]) -> None:
-        got = (
-            [e.ids for e in self.a.encode_batch([" " + w for w in words], add_special_tokens=False)],
-            self.b.encode(words, num_threads=1),
-        )
+        blank = text[:1] == " " or text[-1:] == " " or _BLANKS.search(text)
+        return _GAP.split(text) if blank else text.split(" ")
+
+    def _ids_a(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return _flat([e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)])
+
+    def _encoded_a(self, words: list[str], size: np.ndarray, join: bool) -> tuple[np.ndarray, np.ndarray]:
+        """A's ids of all words, and how many each has."""
+        if join:
+            ids, _ = self._ids_a([" ".join(words[at : at + JOINED]) for at in range(0, len(words), JOINED)])
+            length = self.length[0][ids]
+            ends, stop = np.cumsum(length, dtype=np.int64), np.cumsum(size)
+            last = np.searchsorted(ends, stop)
+            # every word's bytes end where a token ends, else each is encoded alone
+            if length.all() and len(ends) and ends[-1] == stop[-1] and (ends[last] == stop).all():
+                return ids, np.diff(last, prepend=-1)
+        return self._ids_a(words)
+
+    def learn(self, words: list[str], join: bool = False) -> None:
+        """``join``: the words may be cut and have no blanks at their ends."""
         raw = [b" " + w.encode("utf-8", "surrogatepass") for w in words]
+        size = np.fromiter(map(len, raw), np.int64, len(raw))
         valid = np.ones(len(words), bool)
-        for side, (lists, table) in enumerate(zip(got, (self.v.a_bytes, self.v.b_bytes))):
-            valid &= [b"".join([table[i] for i in ids]) == r for ids, r in zip(lists, raw)]
-            n = np.fromiter(map(len, lists), np.int64, len(lists))
-            flat = np.fromiter((i for ids in lists for i in ids), np.int32, int(n.sum()))
+        got = self._encoded_a(words, size, join), _flat(self.b.encode(words, num_threads=1))
+        for side, ((flat, n), table) in enumerate(zip(got, (self.v.a_bytes, self.v.b_bytes))):
             first = np.cumsum(n) - n
-            ends = np.cumsum(self.length[side][flat])
-            before = np.where(first > 0, ends[np.maximum(first, 1) - 1], 0) if len(flat) else first
+            ends = np.cumsum(self.length[side][flat], dtype=np.int64)
+            before, stop = (np.append(0, ends)[at] for at in (first, first + n))
+            joined = b"".join(map(table.__getitem__, flat.tolist()))
+            if joined != b"".join(raw) or (stop - before != size).any():
+                valid &= [joined[x:y] == r for x, y, r in zip(before.tolist(), stop.tolist(), raw)]
             self.first[side].add(first + self.ids[side].n)
             self.count[side].add(n)
             self.ids[side].add(flat)
             self.ends[side].add(ends - np.repeat(before, n))
-        self.size.add(np.fromiter(map(len, raw), np.int64, len(raw)))
+        self.size.add(size)
         self.valid.add(valid)
         self.number.update(zip(words, range(len(self.number), len(self.number) + len(words))))
 
@@ -187,12 +213,12 @@ class WordBook:
         if self.ids[0].n + self.ids[1].n > REMEMBERED:
             self.forget()
         new = set().union(*segments) - self.number.keys()
-        if new:
-            words = list(new)
+        blank = [w for w in new if not w or w[0].isspace() or w[-1].isspace()]
+        for words, join in ((list(new.difference(blank)), self.v.cut), (blank, False)):
             for first in range(0, len(words), ENCODED):
-                self.learn(words[first : first + ENCODED])
+                self.learn(words[first : first + ENCODED], join)
         look = self.number.__getitem__
-        return np.fromiter((n for s in segments for n in map(look, s)), np.int64, sum(map(len, segments)))
+        return np.fromiter(map(look, chain.from_iterable(segments)), np.int64, sum(map(len, segments)))
 
 
 def lockstep(a_end, b_end, a_first, a_stop, b_first) -> tuple[np.ndarray, ...]:

@@ -141,3 +141,36 @@ def test_rows_ids_columns_and_empty_table(spark, vocab):
     assert ta.aligned(docs.limit(0), vocab).count() == 0
     blank = ta.aligned(docs.filter("doc_id = 2"), vocab).collect()
     assert [tuple(blank[0][c] for c in NUMBERS) for _ in blank] == [(0,) * 6 + ("",)]
+
+
+class _Counting:
+    """A library whose encoded texts are counted."""
+
+    def __init__(self, library):
+        self.library, self.texts = library, 0
+
+    def __getattr__(self, name):
+        def call(texts, **how):
+            self.texts += len(texts)
+            return getattr(self.library, name)(texts, **how)
+
+        return call
+
+
+def test_words_are_encoded_together(vocab):
+    """A gets many words as one text, and their tokens are as of each word alone,
+    also where the texts' bytes do not tell the words apart."""
+    words = sorted({w for t in [*ODD_TEXTS, *MORE, "so it goes 1234 Größe über don't $5 x́"] for w in (t or "").split() if w})
+    books = [ta.WordBook(vocab) for _ in range(3)]
+    books[0].a = _Counting(books[0].a)
+    books[0].numbers([words])
+    assert books[0].a.texts <= len(words) // 64 + 1
+    order = list(books[0].number)
+    books[1].learn(order)
+    books[2].length[0] = np.where(np.arange(len(vocab.a_bytes)) == books[0].ids[0].data[0], 0, books[2].length[0])
+    books[2].learn(order, True)  # falls back to single words
+    for side in (0, 1):
+        for name in ("ids", "first", "count"):
+            one, *rest = (getattr(b, name)[side] for b in books)
+            assert all(one.n == x.n and (one.data[: one.n] == x.data[: x.n]).all() for x in rest), name
+    assert (books[0].valid.data[: len(order)] == books[1].valid.data[: len(order)]).all()
