@@ -19,7 +19,7 @@ from martlake.session import new_scratch_dir, write_scratch_table
 from martlake.sinks.files import write_layer
 from martlake.sinks.keyed import read_keyed, upsert_keyed, write_keyed
 from martlake.sources.files import ingest, read_layer
-from martlake.sources.fixtures import BUILDERS, fixture_tables
+from martlake.sources.fixtures import BUILDERS, fixture_tables, lines_for_raw
 from martlake.sources.quarantine import quarantine
 from martlake.sources.records import read_records_csv
 
@@ -204,8 +204,13 @@ def _daily_from_customer_days(spark: SparkSession, d: str) -> DataFrame:
 def _warehouse_kpis(spark: SparkSession, d: str) -> DataFrame:
     """The full layered job from raw CSV; returns its KPI summary table."""
     root = new_scratch_dir(spark, "warehouse")
+    # items and payments come from the same numbered lines: one shuffle for both
+    numbered = f"{root}/lines"
+    write_layer(lines_for_raw(spark, d), numbered)
+    lines = read_layer(spark, numbered)
     for table, file_name in SOURCE_FILES.items():
-        write_source_csv(BUILDERS[table](spark, d), f"{root}/raw/{file_name}")
+        given = {"lines": lines} if table in ("order_items", "payments") else {}
+        write_source_csv(BUILDERS[table](spark, d, **given), f"{root}/raw/{file_name}", compression="gzip")
     paths = build_warehouse(spark, f"{root}/raw", f"{root}/out")
     return read_layer(spark, paths["kpi_summary"])
 

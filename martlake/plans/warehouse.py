@@ -29,10 +29,19 @@ PUBLISHED = (
 )
 
 
-def write_source_csv(df: DataFrame, path: str) -> None:
-    """Write a table in the raw CSV form ``read_source_csv`` accepts."""
+#: Rows of a compressed raw file, which one task reads.
+ROWS_PER_FILE = 1_000_000
+
+
+def write_source_csv(df: DataFrame, path: str, compression: str | None = None) -> None:
+    """Write a table in the raw CSV form ``read_source_csv`` accepts.  With a
+    ``compression`` (``gzip``) files hold at most ``ROWS_PER_FILE`` rows, since such
+    a file cannot be split; ``read_records_csv`` reads plain files only."""
+    writer = df.write.mode("overwrite")
+    if compression is not None:
+        writer = writer.option("compression", compression).option("maxRecordsPerFile", ROWS_PER_FILE)
     (
-        df.write.mode("overwrite")
+        writer
         .option("header", True)
         .option("escape", '"')
         .option("timestampNTZFormat", TIMESTAMP_WRITE_FORMAT)

@@ -14,6 +14,7 @@ from martlake.schemas import (
     SOURCE_SCHEMAS,
     TIMESTAMP_FORMAT,
 )
+from martlake.sinks.files import LAYER_CODEC
 
 
 CORRUPT = "_corrupt_record"
@@ -116,7 +117,7 @@ def ingest(
         df = df.observe(observation, *counts).drop(CORRUPT)
     if out_path is None:
         return df
-    df.write.mode("overwrite").parquet(out_path)
+    df.write.mode("overwrite").option("compression", LAYER_CODEC).parquet(out_path)
     return spark.read.parquet(out_path)
 
 

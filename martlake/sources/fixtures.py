@@ -70,13 +70,14 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _numbered_lines(spark: SparkSession, sf_dir: str, by: str = "order_id") -> DataFrame:
     # Per-order line ordinal.  The test tables have a dozen or so lines per
     # order at most, so the per-order window stays small; real sources
     # carry order_item_id / payment_sequential themselves.  The window is
     # keyed on the text order_id, so the shuffle it needs also serves the
-    # later per-order aggregates and joins (which key on order_id).
-    w = Window.partitionBy("order_id").orderBy(
+    # later per-order aggregates and joins (which key on order_id).  Where none
+    # follows, ``by`` names the number it is the text of: narrower to shuffle.
+    w = Window.partitionBy(by).orderBy(
         F.col("l_linenumber").asc_nulls_last(),
         F.col("l_partkey").asc_nulls_last(),
         F.col("l_suppkey").asc_nulls_last(),
@@ -89,8 +90,21 @@ def _numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _numbered_lines(spark, sf_dir).select(
+def lines_for_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What ``order_items`` and ``payments`` read, to be written once for both."""
+    return _numbered_lines(spark, sf_dir, "l_orderkey").select(
+        "l_orderkey", "line_no", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity", "l_returnflag"
+    )
+
+
+def _lines(spark: SparkSession, sf_dir: str, written: DataFrame | None) -> DataFrame:
+    if written is None:
+        return _numbered_lines(spark, sf_dir)
+    return written.withColumn("order_id", F.col("l_orderkey").cast("string"))
+
+
+def order_items(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
+    return _lines(spark, sf_dir, lines).select(
         "order_id",
         F.col("line_no").alias("order_item_id"),
         F.col("l_partkey").cast("string").alias("product_id"),
@@ -101,12 +115,12 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+def payments(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
     flag = F.col("l_returnflag")
     ptype = None
     for k, v in PAYMENT_TYPE_BY_RETURNFLAG.items():
         ptype = F.when(flag == k, v) if ptype is None else ptype.when(flag == k, v)
-    return _numbered_lines(spark, sf_dir).select(
+    return _lines(spark, sf_dir, lines).select(
         "order_id",
         F.col("line_no").alias("payment_sequential"),
         ptype.alias("payment_type"),
