@@ -165,6 +165,10 @@ class Reader:
         return votes, np.unique(found & (DIMENSIONS - 1)).astype(np.uint16)
 
 
+def _named(column: str) -> Column:
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def unit_counts(rows: DataFrame) -> DataFrame:
     """(unit, clean, toxic, forms): how many labelled rows (text, toxic) of each
     class hold each word (``=word``) or beginning, and of how many words."""
@@ -217,22 +221,22 @@ def mine(rows: DataFrame) -> dict[str, int]:
 
 def votes_of(docs: DataFrame, units: dict[str, int], keep: list[str], names: tuple[str, str] = ("votes", "places")) -> DataFrame:
     """The columns ``keep`` of the rows and two more: the vote mask, and the word
-    places (16-bit numbers in a binary)."""
-    text_at, kept = docs.columns.index("text"), [docs.columns.index(c) for c in keep]
+    places (16-bit numbers in a binary).  Only texts go to Python, and only the two
+    new columns come back."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf(StructType([StructField("votes", LongType()), StructField("places", BinaryType())]))
+    def read(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         reader = Reader(units)
-        for batch in batches:
-            votes, places = np.zeros(batch.num_rows, np.int64), []
-            for i, text in enumerate(batch.column(text_at)):
+        for texts in batches:
+            votes, places = np.zeros(len(texts), np.int64), []
+            for i, text in enumerate(texts):
                 votes[i], found = reader.read(text.as_py())
                 places.append(found.tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in kept), pa.array(votes), pa.array(places, pa.binary())], [*keep, *names]
-            )
+            yield pa.StructArray.from_arrays([pa.array(votes), pa.array(places, pa.binary())], ["votes", "places"])
 
-    more = [StructField(names[0], LongType()), StructField(names[1], BinaryType())]
-    return docs.mapInArrow(run, StructType([*(docs.schema.fields[i] for i in kept), *more]))
+    kept, (name,) = [_named(c) for c in keep], free_names([*keep, *names], "read")
+    out = docs.select(*kept, read("text").alias(name))
+    return out.select(*kept, F.col(f"{name}.votes").alias(names[0]), F.col(f"{name}.places").alias(names[1]))
 
 
 class LabelModel:
@@ -422,13 +426,13 @@ def scored(docs: DataFrame, labels: DataFrame, keep: list[str], name: str = "sco
     short = read.select("doc_id", F.col(votes).alias("votes"), F.col(places).alias("places"))
     scorer = fit(short, learnt_labels(labels))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            score = scorer.scores(batch.column(votes).to_numpy(), batch.column(places).to_pylist())
-            rest = [batch.column(c) for c in keep]
-            yield pa.RecordBatch.from_arrays([*rest, pa.array(score)], [*keep, name])
+    @F.arrow_udf(DoubleType())
+    def score(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for masks, words in batches:
+            yield pa.array(scorer.scores(masks.to_numpy(), words.to_pylist()))
 
-    return read.mapInArrow(run, StructType([*(read.schema[c] for c in keep), StructField(name, DoubleType())]))
+    # the kept columns, whole texts among them, stay out of Python
+    return read.select(*(_named(c) for c in keep), score(votes, places).alias(name))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:

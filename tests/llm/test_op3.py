@@ -123,3 +123,15 @@ def test_extra_columns_pass(spark):
     assert kept.columns == docs.columns
     assert sorted(r["doc_id"] for r in kept.collect()) == [0, 2]
     assert toxicity(docs, labels).columns == ["doc_id", "held_out", "score", "predicted"]
+
+
+def test_texts_do_not_pass_through_python_to_be_scored(spark):
+    """Scoring sends votes and word places to Python; other columns stay."""
+    texts = ["fine words here"] * 30 + ["you idiot"] * 10 + [None, ""]
+    docs = make_docs(spark, texts).selectExpr("*", "5 AS `a.b`")
+    labels = spark.createDataFrame([(i, int(t == "you idiot")) for i, t in enumerate(texts)], "doc_id long, toxic int")
+    out = drop_toxic(docs, labels)
+    assert out.columns == docs.columns
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan and "ArrowEvalPython" in plan
+    assert {r["a.b"] for r in out.collect()} == {5}
