@@ -35,7 +35,9 @@ gives an empty result.  Texts of any length are worked on in segments of about
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -83,7 +85,10 @@ class Vocabularies:
         return max(1, (len(self.b_bytes) - 1).bit_length())
 
 
+@functools.lru_cache(1)
 def _libraries(spec: str, model: bytes):
+    """Both libraries, loaded once in a process: loading them anew in every task
+    leaves holes in its memory."""
     import sentencepiece
     from tokenizers import Tokenizer
 
@@ -157,6 +162,8 @@ class WordBook:
 
     def __init__(self, v: Vocabularies):
         self.v = v
+        # a task has one core; threads of a library would each hold memory of their own
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.a, self.b = _libraries(v.spec, v.model)
         self.length = [np.array([len(x) for x in side], np.int32) for side in (v.a_bytes, v.b_bytes)]
         self.forget()

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import os
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -174,3 +175,10 @@ def test_words_are_encoded_together(vocab):
             one, *rest = (getattr(b, name)[side] for b in books)
             assert all(one.n == x.n and (one.data[: one.n] == x.data[: x.n]).all() for x in rest), name
     assert (books[0].valid.data[: len(order)] == books[1].valid.data[: len(order)]).all()
+
+
+def test_tasks_of_a_process_share_the_libraries_and_use_one_thread(vocab, monkeypatch):
+    monkeypatch.delenv("TOKENIZERS_PARALLELISM", raising=False)
+    one, other = ta.WordBook(vocab), ta.WordBook(vocab)
+    assert one.a is other.a and one.b is other.b
+    assert os.environ["TOKENIZERS_PARALLELISM"] == "false"
