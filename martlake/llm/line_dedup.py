@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martlake.llm.tables import free_names, row_key, written
+from martlake.llm.tables import dropped, free_names, row_key, stored, written
 from martlake.llm.textbuf import SpanHash, TextBuf, as_bytes, chunks
 
 MIN_POINTS, MIN_DOCS = 40, 5
@@ -142,10 +142,11 @@ def _stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def line_drops(docs: DataFrame) -> DataFrame:
     """(row, doc_id, at): the lines to drop, by document row and line number.
     ``docs`` has doc_id, row (see ``row_key``) and text."""
-    keys = written(docs.select("doc_id", "row", "text").mapInArrow(_line_keys, _LINE), "line-keys")
+    keys, folder = stored(docs.select("doc_id", "row", "text").mapInArrow(_line_keys, _LINE), "line-keys")
     by = ("h1", "h2", F.desc("doc_id"), "at")
     ordered = keys.repartitionByRange(*by).sortWithinPartitions(*by)
     streamed = written(ordered.mapInArrow(_stream, _STREAMED), "line-stream")
+    dropped(docs.sparkSession, folder)
     # A key's summaries, one per partition that it touches.  A document whose
     # rows were cut by a partition's edge was counted on both sides.
     before = F.lag("low").over(Window.partitionBy("h1", "h2").orderBy("part"))

@@ -311,7 +311,7 @@ def linked(pairs: DataFrame, docs: DataFrame, known: DataFrame, join: Join) -> D
                 & ((join.den + join.num) * apart <= (join.den - join.num) * total))
         .select("a", "b")
     )
-    near = written(near, "near-pairs")
+    near, pairs_folder = stored(near, "near-pairs")
     wanted = near.select(F.col("a").alias("node")).union(near.select(F.col("b").alias("node"))).distinct()
     wanted = wanted.join(known.select("node", "doc_id"), "node").select(F.col("doc_id").alias("id"), "node")
     texts = docs.join(wanted.hint("shuffle_hash"), docs["doc_id"] == wanted["id"]).select("node", "text")
@@ -327,7 +327,7 @@ def linked(pairs: DataFrame, docs: DataFrame, known: DataFrame, join: Join) -> D
                 ["node", "grams"],
             )
 
-    grams = written(texts.mapInArrow(sets, "node long, grams binary").dropDuplicates(["node"]), "node-sets")
+    grams, sets_folder = stored(texts.mapInArrow(sets, "node long, grams binary").dropDuplicates(["node"]), "node-sets")
     num, den = join.num, join.den
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -342,7 +342,9 @@ def linked(pairs: DataFrame, docs: DataFrame, known: DataFrame, join: Join) -> D
     full = near.join(grams.select(F.col("node").alias("a"), F.col("grams").alias("x")), "a").join(
         grams.select(F.col("node").alias("b"), F.col("grams").alias("y")), "b"
     )
-    return written(full.select("a", "b", "x", "y").mapInArrow(verify, "a long, b long"), "links")
+    links = written(full.select("a", "b", "x", "y").mapInArrow(verify, "a long, b long"), "links")
+    dropped(docs.sparkSession, pairs_folder, sets_folder)
+    return links
 
 
 def _open_members(lists: DataFrame, comps: DataFrame) -> DataFrame:

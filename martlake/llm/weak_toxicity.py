@@ -48,7 +48,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, DoubleType, LongType, StructField, StructType
 
-from martlake.llm.tables import free_names, written
+from martlake.llm.tables import free_names, row_key, written
 
 #: Word families; a voter fires if a text has one of its words.
 LEXICON: dict[str, str] = {
@@ -444,6 +444,12 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that are not predicted toxic; columns as they were."""
-    (name,) = free_names(docs.columns, "score")
-    return scored(docs, labels, docs.columns, name).filter(F.col(name) < 0.5).drop(name)
+    """The documents that are not predicted toxic; columns as they were.  Toxic
+    rows are named by id and ``row_key``: the table that is written for scoring
+    holds no texts and no other columns."""
+    row, doc = free_names(docs.columns, "row", "id")
+    short = docs.select("doc_id", "text", row_key().alias("row"))
+    bad = scored(short, labels, ["doc_id", "row"]).filter("score >= 0.5")
+    bad = bad.select(F.col("row").alias(row), F.col("doc_id").alias(doc)).distinct()
+    on = (row_key() == F.col(row)) & F.col("doc_id").eqNullSafe(F.col(doc))
+    return docs.join(bad.hint("shuffle_hash"), on, "left_anti")

@@ -3,6 +3,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from martlake import session
 from martlake.llm import weak_toxicity
 from martlake.llm.line_dedup import MIN_DOCS
 from tests.conftest import SF001
@@ -104,3 +105,16 @@ def test_mix_stage_returns_equal_rows_as_often_as_they_are_chosen(spark):
     got = mixing.mix_stage(docs)
     want = sorted((r["doc_id"], r["copies"]) for r in chosen.collect())
     assert len(want) < 104 and sorted((r["doc_id"], r["copies"]) for r in got.collect()) == want
+
+
+def test_stages_leave_no_whole_texts_behind(spark, tmp_path, monkeypatch):
+    """Scratch tables that stay until the run ends hold no texts, and large ones go
+    as soon as the next one is written."""
+    monkeypatch.setattr(session, "scratch_root", lambda spark: str(tmp_path))
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:3]:
+        assert 0 < stage(spark, docs, SF001).count() <= docs.count()
+    left = {p.name.rsplit("-", 1)[0]: p for p in (tmp_path / "martlake").iterdir()}
+    assert {"word-places", "line-stream", "links"} <= set(left)
+    assert not {"line-keys", "near-pairs", "node-sets"} & set(left)
+    assert not any("text" in spark.read.parquet(str(p)).columns for p in left.values())
