@@ -17,7 +17,9 @@ agrees.  A document with more empty blocks also emits each empty block
 combined with the blocks of a second, independent sketch, so that nothing is
 lost and no bucket of empty blocks forms.
 
-**Buckets.**  Documents of one key form a bucket.  Each member is compared with
+**Buckets.**  Documents of one key form a bucket.  Keys are the largest rows of the
+join, far larger than the texts on disk, so the even bands and the odd ones are dealt
+out one after the other: each document has one of its two bands in either.  Each member is compared with
 the bucket's first one only; buckets that are equal as sets count once.  After
 the links found so far are joined into components, only buckets that still
 hold several components are looked at again, for pairs of different components;
@@ -37,8 +39,9 @@ empty table gives an empty result; other columns, whatever their names, are not
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -147,18 +150,21 @@ def second_sketch(d, g):
     return d[order], other[order]
 
 
-def band_keys(d, g, size, join: Join, bands) -> tuple[np.ndarray, np.ndarray]:
-    """Document and key of all blocks under which its partners can be found."""
+def band_keys(d, g, size, join: Join, bands, parity: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Document and key of all blocks under which its partners can be found, or of
+    those in even (``parity`` 0) or odd (1) bands."""
     low, blocks, spare = bands
     own = np.maximum(np.searchsorted(low, size, side="right") - 1, 0)
     docs, keys = [], []
     for step in (0, 1):  # partners of at most its own band, and of the next one
         band = own + step
-        b_doc, b_at, b_xor = _blocks(d, g, blocks[band], _U(0))
+        now = size > 0 if parity is None else (size > 0) & (band % 2 == parity)
+        m = now[d]
+        b_doc, b_at, b_xor = _blocks(d[m], g[m], blocks[band], _U(0))
         docs.append(b_doc)
         keys.append(_key(band[b_doc], b_at, b_xor))
         empty = blocks[band] - np.bincount(b_doc, minlength=len(size))
-        for x in np.flatnonzero((empty > spare[band]) & (size > 0)):
+        for x in np.flatnonzero((empty > spare[band]) & now):
             gone = np.setdiff1d(np.arange(blocks[band[x]]), b_at[b_doc == x])
             mine = d == x
             o_d, o_g = second_sketch(d[mine], g[mine])
@@ -203,8 +209,9 @@ def _pairs_table(*columns, names=("key", "node")) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], list(names))
 
 
-def block_rows(docs: DataFrame, join: Join) -> DataFrame:
-    """(key, node): a row per key; equal sets are sent on once by each task."""
+def block_rows(docs: DataFrame, join: Join, parity: int | None = None) -> DataFrame:
+    """(key, node): a row per key (of the even or odd bands, see ``band_keys``);
+    equal sets are sent on once by each task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands, sent = join.bands(), set()
@@ -219,7 +226,7 @@ def block_rows(docs: DataFrame, join: Join) -> DataFrame:
                 sent.add(x)
             m = fresh[d]
             d, g = d[m], g[m]
-            doc, key = band_keys(d, g, np.where(fresh, size, 0), join, bands)
+            doc, key = band_keys(d, g, np.where(fresh, size, 0), join, bands, parity)
             yield _pairs_table(key.view(np.int64), node[doc])
 
     return docs.mapInArrow(run, "key long, node long")
@@ -283,14 +290,18 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from cut(left_key, left, True)
 
 
-def buckets(rows: DataFrame, tag: str) -> DataFrame:
+def buckets(parts: Iterable[DataFrame], tag: str) -> DataFrame:
     """(bucket, members) of all keys with two or more nodes; equal member lists
-    that fit one row count once over all tasks."""
-    sorted_rows = rows.repartition("key").sortWithinPartitions("key", "node")
-    lists, folder = stored(sorted_rows.mapInArrow(_runs, "bucket long, members array<long>, single boolean"), tag)
+    that fit one row count once over all tasks.  The parts, (key, node), have no key
+    in common; the rows of one have left the disk when the next one begins."""
+    found = []
+    for rows in parts:
+        sorted_rows = rows.repartition("key").sortWithinPartitions("key", "node")
+        found.append(stored(sorted_rows.mapInArrow(_runs, "bucket long, members array<long>, single boolean"), tag))
+    lists = reduce(DataFrame.unionByName, [x for x, _ in found])
     once = lists.filter("single").dropDuplicates(["members"]).unionByName(lists.filter("not single"))
     once = written(once.drop("single"), f"{tag}-once")
-    dropped(rows.sparkSession, folder)
+    dropped(lists.sparkSession, *(folder for _, folder in found))
     return once
 
 
@@ -444,7 +455,7 @@ def similarity_components(docs: DataFrame, join: Join) -> DataFrame:
             F.min_by("bits", "doc_id").alias("bits"),
         ), "nodes",
     )
-    lists = buckets(block_rows(docs, join), "buckets")
+    lists = buckets((block_rows(docs, join, parity) for parity in (0, 1)), "buckets")
     first = F.element_at("members", 1)
     star = lists.select(first.alias("a"), F.explode("members").alias("b")).filter("a <> b").distinct()
     links = linked(star, docs, known, join)

@@ -1,7 +1,8 @@
 """Session-level helpers: the shared scratch folder and the settings we run with.
 
 Library functions never create a session or change its settings; callers
-(tests, ``bench.py``, the cluster's spark-defaults) do that.
+(tests, ``bench.py``, the cluster's spark-defaults) do that.  (The corpus
+operators set one, while they write a scratch table: ``llm/tables.py``.)
 """
 
 from __future__ import annotations

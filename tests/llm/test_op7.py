@@ -1,11 +1,14 @@
 from __future__ import annotations
 
+import os
 import random
+import time
 
 import numpy as np
 import pytest
 
-from martlake.llm import graph, parity_join
+from martlake import session
+from martlake.llm import graph, parity_join, tables
 from martlake.llm.parity_join import Join, similarity_components
 from tests.conftest import SF001, SF01
 from tests.llm.helpers import ODD_TEXTS, lower_az, make_docs, table_rows, words
@@ -175,3 +178,53 @@ def test_batch_border_inside_a_bucket_loses_no_other():
     batches = [batch((1, 10), (1, 20), (2, 30)), batch((2, 40), (3, 10), (3, 20), (3, 30))]
     got = [r for b in parity_join._runs(iter(batches)) for r in b.to_pylist()]
     assert [(r["bucket"], r["members"]) for r in got] == [(1, [10, 20]), (2, [30, 40]), (3, [10, 20, 30])]
+
+
+def test_even_and_odd_bands_share_the_keys(spark):
+    """The keys are dealt out in two parts: none is lost or in both, neither holds most."""
+    rng = random.Random(4)
+    texts = [" ".join(f"w{rng.randrange(5000)}" for _ in range(n)) for n in (0, 1, 2, 4, 9, 17, 40, 90, 300, 800) for _ in range(4)]
+    docs = make_docs(spark, texts).select("doc_id", "text")
+    whole, even, odd = (sorted(map(tuple, parity_join.block_rows(docs, Join(), k).collect())) for k in (None, 0, 1))
+    assert sorted(even + odd) == whole
+    assert not {k for k, _ in even} & {k for k, _ in odd}
+    assert max(len(even), len(odd)) < 0.6 * len(whole)
+
+
+def test_shuffles_and_rounds_leave_the_disk(spark, tmp_path, monkeypatch):
+    """The shuffles of a table that is written go with it, not when the driver's
+    garbage is collected; tables of earlier rounds and of the parts go too."""
+    monkeypatch.setattr(session, "scratch_root", lambda spark: str(tmp_path))
+    folders = list(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+    shuffles = lambda: {f for top in folders for _, _, fs in os.walk(top) for f in fs if f.startswith("shuffle_")}
+    before = shuffles()
+    rows = spark.range(2000).repartition(3, "id")
+    tables.dropped(spark, tables.stored(rows.groupBy((rows["id"] % 7).alias("k")).count(), "sums")[1])
+    tables.written(rows, "rows")
+    for _ in range(40):  # Spark does not wait for the files to go
+        if not shuffles() - before:
+            break
+        time.sleep(0.25)
+    assert not shuffles() - before
+    assert spark.conf.get(tables.CLEANUP_KEY, None) is None
+
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(80)]
+    docs = make_docs(spark, [edited(rng, base, k % 4) for k in range(60)] + ["other words"])
+    assert similarity_components(docs, Join()).count() == 61
+    left = {p.name.rsplit("-", 1)[0] for p in (tmp_path / "martlake").iterdir()}
+    assert {"buckets-once", "links", "small-star"} <= left
+    assert not {"buckets", "edges", "both", "least", "large-star"} & left
+
+
+def test_a_session_that_keeps_its_shuffles_is_left_alone(spark):
+    spark.conf.set(tables.CLEANUP_KEY, "false")
+    try:
+        with tables.shuffles_dropped(spark):
+            assert spark.conf.get(tables.CLEANUP_KEY) == "false"
+        assert spark.conf.get(tables.CLEANUP_KEY) == "false"
+    finally:
+        spark.conf.unset(tables.CLEANUP_KEY)
+    with tables.shuffles_dropped(spark):
+        assert spark.conf.get(tables.CLEANUP_KEY) == "true"
+    assert spark.conf.get(tables.CLEANUP_KEY, None) is None
